@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 
 from catalog_star.registry import QUERIES
@@ -35,7 +36,9 @@ KEY_FIGURES = ["kpi_total_tracks", "kpi_winners", "kpi_genre_winners", "kpi_pop_
 def timed(spark, name: str) -> float:
     start = time.perf_counter()
     QUERIES[name].run(spark, FOLDER).write.format("noop").mode("overwrite").save()
-    return round(time.perf_counter() - start, 3)
+    seconds = round(time.perf_counter() - start, 3)
+    print(name, seconds, file=sys.stderr, flush=True)
+    return seconds
 
 
 def main() -> None:

@@ -18,75 +18,106 @@ from pyspark.sql import Column, DataFrame, functions as F
 from catalog_star.functions import values
 
 SMALL_RANGE = 100_000  # values one task may sort
-GRID = 500  # approximate quantiles taken per round
-ACCURACY = 20 * GRID
+GRID = 501  # steps between approximate quantiles; odd, so that quartiles fall between them
+ACCURACY = 5 * GRID
 
 
 @dataclass
 class _Search:
-    """A wanted rank (from 0) and the closed value range that holds it."""
+    """A wanted rank (from 0) and two values of the column that enclose it.
+
+    ``inside`` counts the values strictly between the two; None means not yet known.
+    """
 
     column: str
     rank: int
     low: float | None = None
     high: float | None = None
-    below: int = 0
-    inside: int = 0
+    first: int = 0
+    inside: int | None = None
+    estimate: float = 0
+    margin: int = 1
     found: float | None = None
 
     @property
     def range(self) -> tuple:
         return (self.column, self.low, self.high)
 
+    def expected(self) -> float:
+        """Estimated number of values between the enclosing ones."""
+        return self.inside if self.inside is not None else self.estimate
+
+    def narrow(self, grid: list[float]) -> None:
+        """Take the grid values around the rank as the new enclosing values."""
+        step = floor((self.rank - self.first) / max(self.inside - 1, 1) * GRID)
+        self.low = grid[max(step - self.margin, 0)]
+        self.high = grid[min(step + 1 + self.margin, GRID)]
+        self.estimate = self.inside * (2 * self.margin + 1) / GRID
+        self.inside = None
+
+    def restart(self) -> None:
+        """Search the whole column again, with more room around the estimate."""
+        self.low = self.high = self.inside = None
+        self.estimate = float("inf")
+        self.margin *= 2
+
 
 def _value(column: str) -> Column:
     return values.ignore_nan(F.col(column).cast("double"))
 
 
-def _within(search: _Search) -> Column:
+def _between(search: _Search) -> Column:
     v = _value(search.column)
-    return v if search.low is None else F.when(v.between(search.low, search.high), v)
+    return v if search.low is None else F.when((v > search.low) & (v < search.high), v)
 
 
 def _count_ranges(df: DataFrame, searches: list[_Search]) -> None:
-    """Count values below and within each range, then narrow the ranges."""
+    """Count the values below, at and between the enclosing values, then decide or narrow.
+
+    The enclosing values themselves are settled by their counts. That makes every round
+    shrink the range, also for columns in which a few values fill most of the rows.
+    Approximate quantiles are taken only of ranges that look too large to sort.
+    """
     ranges = {s.range: s for s in searches}
     aggregates = []
     fractions = F.lit([i / GRID for i in range(GRID + 1)])
     for n, s in enumerate(ranges.values()):
-        below = F.lit(0) if s.low is None else F.count_if(_value(s.column) < s.low)
+        v = _value(s.column)
+        whole = s.low is None
+        zero = F.lit(0).cast("long")
         aggregates += [
-            below.cast("long").alias(f"below_{n}"),
-            F.count(_within(s)).alias(f"inside_{n}"),
-            F.percentile_approx(_within(s), fractions, ACCURACY).alias(f"grid_{n}"),
+            (zero if whole else F.count_if(v < s.low)).alias(f"below_{n}"),
+            (zero if whole else F.count_if(v == s.low)).alias(f"at_low_{n}"),
+            (zero if whole or s.low == s.high else F.count_if(v == s.high)).alias(f"at_high_{n}"),
+            F.count(_between(s)).alias(f"inside_{n}"),
         ]
-    row = df.agg(*aggregates).first()
+        if s.expected() > SMALL_RANGE / 2:
+            aggregates.append(F.percentile_approx(_between(s), fractions, ACCURACY).alias(f"grid_{n}"))
+    row = df.agg(*aggregates).first().asDict()
     position = {key: n for n, key in enumerate(ranges)}
     for s in searches:
         n = position[s.range]
-        s.below, s.inside = row[f"below_{n}"], row[f"inside_{n}"]
-        if not s.below <= s.rank < s.below + s.inside:
-            # The rank lies outside: start over from the whole column.
-            s.low = s.high = None
-            s.inside = SMALL_RANGE + 1
-            continue
-        if s.low is not None and s.low == s.high:
+        below, at_low, inside, at_high = (row[f"{part}_{n}"] for part in ("below", "at_low", "inside", "at_high"))
+        s.first, s.inside = below + at_low, inside
+        if below <= s.rank < s.first:
             s.found = s.low
-        elif s.inside > SMALL_RANGE:
-            grid = row[f"grid_{n}"]
-            step = (s.rank - s.below) / max(s.inside - 1, 1) * GRID
-            s.low = grid[max(floor(step) - 1, 0)]
-            s.high = grid[min(ceil(step) + 1, GRID)]
-            s.below, s.inside = 0, SMALL_RANGE + 1  # to be counted
+        elif s.first + inside <= s.rank < s.first + inside + at_high:
+            s.found = s.high
+        elif not s.first <= s.rank < s.first + inside:
+            s.restart()
+        elif inside > SMALL_RANGE and f"grid_{n}" in row:
+            s.narrow(row[f"grid_{n}"])
 
 
 def _pick(df: DataFrame, searches: list[_Search]) -> None:
     """Read the wanted values off ranges that are small enough to sort."""
-    picks = [
-        F.array_sort(F.collect_list(_within(s)))[s.rank - s.below].alias(f"v_{n}")
-        for n, s in enumerate(searches)
+    ranges = list(dict.fromkeys(s.range for s in searches))
+    first = {s.range: s for s in searches}
+    sorted_values = [F.array_sort(F.collect_list(_between(first[r]))).alias(f"r_{n}") for n, r in enumerate(ranges)]
+    wanted = [
+        F.get(f"r_{ranges.index(s.range)}", F.lit(s.rank - s.first)).alias(f"v_{n}") for n, s in enumerate(searches)
     ]
-    row = df.agg(*picks).first()
+    row = df.agg(*sorted_values).select(*wanted).first()
     for n, s in enumerate(searches):
         s.found = row[f"v_{n}"]
 
@@ -109,11 +140,11 @@ def exact_quantiles(
     for column, n in counts.items():
         for f in fractions if n else ():
             for rank in (floor((n - 1) * f), ceil((n - 1) * f)):
-                searches.setdefault((column, rank), _Search(column, rank, inside=SMALL_RANGE + 1))
+                searches.setdefault((column, rank), _Search(column, rank, estimate=n))
     while open_searches := [s for s in searches.values() if s.found is None]:
-        large = [s for s in open_searches if s.inside > SMALL_RANGE]
-        if large:
-            _count_ranges(df, large)
+        wide = [s for s in open_searches if s.inside is None or s.inside > SMALL_RANGE]
+        if wide:
+            _count_ranges(df, wide)
         else:
             _pick(df, open_searches)
 
