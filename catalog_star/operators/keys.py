@@ -1,11 +1,19 @@
-"""Dense surrogate keys 1..n in a given order, without a single-partition window."""
+"""Dense surrogate keys 1..n in a given order, without a single-partition window.
+
+Both forms sort rows within ordered partitions and add the number of rows in the
+partitions before. ``number_rows`` takes any order columns and stages its result.
+``number_by_buckets`` is for a whole-number order column of a staged table: it cuts the
+column's range evenly, so it needs neither a sample of the rows nor a stage.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from itertools import accumulate
+from math import ceil
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from catalog_star.staging import stage
 
@@ -30,21 +38,78 @@ def number_rows(
         .withColumn("_place", F.monotonically_increasing_id()),
         label,
     )
-    partition = F.shiftright("_place", _SLOT_BITS)
+    partition = F.shiftright("_place", _SLOT_BITS).cast("int")
     sizes = {
         row["p"]: row["n"]
         for row in placed.groupBy(partition.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
     }
     counts = [sizes.get(p, 0) for p in range(max(sizes, default=-1) + 1)]
-    first_keys = accumulate(counts, initial=start)
-    # A constant array, read by position, keeps the table's size estimate that a
-    # join with the counts would inflate.
-    first_key = F.split(F.lit(",".join(map(str, first_keys))), ",").cast("array<bigint>")
-    slot = F.col("_place").bitwiseAND(F.lit((1 << _SLOT_BITS) - 1))
-    number = F.get(first_key, partition.cast("int")) + slot
+    number = _looked_up(accumulate(counts, initial=start), partition) + _slot(F.col("_place"))
     return placed.select(number.alias(key), *df.columns)
 
 
+def _looked_up(table: Iterable[int], position: Column) -> Column:
+    """Element of a constant array. A join would inflate the size estimate of the rows."""
+    text = F.lit(",".join(map(str, table)))
+    return F.get(F.split(text, ",").cast("array<bigint>"), position)
+
+
+def _slot(place: Column) -> Column:
+    return place.bitwiseAND(F.lit((1 << _SLOT_BITS) - 1))
+
+
+ROWS_PER_BUCKET = 2_000_000
+MOST_BUCKETS = 50_000
+MOST_UNEVEN = 8  # a bucket may hold this many times its fair share
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """Even cuts of a whole-number column and the number of rows in each."""
+
+    order: str
+    lowest: int
+    width: int
+    counts: tuple[int, ...]
+
+    def bucket(self) -> Column:
+        return F.expr(f"cast((`{self.order}` - {self.lowest}L) div {self.width}L as int)")
+
+
+def even_buckets(staged: DataFrame, order: str) -> Buckets | None:
+    """Cut a staged table's order column; None if it cannot be cut evenly.
+
+    Two passes over that one column: its extent, then the rows per bucket.
+    """
+    if staged.schema[order].dataType.simpleString() not in ("int", "bigint"):
+        return None
+    row = staged.agg(F.min(order), F.max(order), F.count(order), F.count(F.lit(1))).first()
+    lowest, highest, n, rows = row
+    if n == 0 or n < rows or highest - lowest >= 2**62:
+        return None
+    cores = int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(ceil(n / ROWS_PER_BUCKET), min(cores, ceil(n / 10_000)))
+    width = ceil((highest - lowest + 1) / min(wanted, MOST_BUCKETS))
+    cut = Buckets(order, lowest, width, ())
+    sizes = dict(
+        (r["b"], r["n"])
+        for r in staged.groupBy(cut.bucket().alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    )
+    counts = tuple(sizes.get(b, 0) for b in range((highest - lowest) // width + 1))
+    if max(counts) > MOST_UNEVEN * ceil(n / len(counts)):
+        return None
+    return Buckets(order, lowest, width, counts)
+
+
+def number_by_buckets(df: DataFrame, buckets: Buckets, key: str, start: int = 1) -> DataFrame:
+    """Add ``key`` to rows that correspond one to one to the table the buckets were cut from."""
+    ordered = df.repartitionById(len(buckets.counts), buckets.bucket()).sortWithinPartitions(buckets.order)
+    number = _looked_up(accumulate(buckets.counts, initial=start), buckets.bucket()) + _slot(
+        F.monotonically_increasing_id()
+    )
+    return ordered.select(number.alias(key), *df.columns)
+
+
 def extend_keys(
     values: DataFrame, known: DataFrame, natural: Sequence[str], order: str, key: str
 ) -> DataFrame:

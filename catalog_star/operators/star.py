@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from catalog_star import schemas as s
 from catalog_star.functions import values
 from catalog_star.operators.dedup import keep_first
-from catalog_star.operators.keys import number_rows
+from catalog_star.operators.keys import even_buckets, number_by_buckets, number_rows
+from catalog_star.staging import stage
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,7 @@ class Star:
     fact_key: str
     references: tuple[str, ...]
     fact: DataFrame
-    numbered: DataFrame
+    flat: DataFrame
 
     def tables(self) -> dict[str, DataFrame]:
         """Dimensions first, so that a load in this order never breaks a reference."""
@@ -63,7 +64,7 @@ class Star:
 
     def fact_rows(self) -> int:
         """Number of fact rows, from the staged table they are derived from one to one."""
-        return self.numbered.count()
+        return self.flat.count()
 
 
 TRACK_STAR = StarLayout(
@@ -129,19 +130,22 @@ def look_up_keys(facts: DataFrame, keyed: DataFrame, key: str, natural: str) ->
 def build_star(merged: DataFrame, order: str = s.ROW_ORDER, layout: StarLayout = TRACK_STAR) -> Star:
     """Derive all tables from ``merged``; ``order`` must be unique.
 
-    Numbering the fact rows stages the flat table in order. Every dimension reads
-    its few columns from that stage, and each dimension is staged once, as output and
-    as the lookup for the fact.
+    The flat table is staged once. Every dimension reads its few columns from that
+    stage and is staged itself, as output and as the lookup for the fact. The fact is
+    numbered last, when its rows are keys and measures only: one shuffle puts it in order.
     """
     sources = layout.sources()
-    flat = merged.select(order, *[c for c in merged.columns if c in sources and c != order])
-    numbered = number_rows(flat, order, layout.fact_key, label=layout.fact)
-    keyed = {d.name: build_dimension(numbered, d, layout.fact_key) for d in layout.dimensions}
-    facts = numbered.select(
-        layout.fact_key, *dict.fromkeys([d.natural for d in layout.dimensions] + list(layout.measures))
-    )
+    flat = stage(merged.select(order, *[c for c in merged.columns if c in sources and c != order]), layout.fact)
+    keyed = {d.name: build_dimension(flat, d, order) for d in layout.dimensions}
+    facts = flat.select(order, *dict.fromkeys([d.natural for d in layout.dimensions] + list(layout.measures)))
     for d in layout.dimensions:
         facts = look_up_keys(facts, keyed[d.name], d.key, d.natural)
+    facts = facts.select(order, *layout.references, *layout.measures)
+    buckets = even_buckets(flat, order)
+    if buckets:
+        facts = number_by_buckets(facts, buckets, layout.fact_key)
+    else:
+        facts = number_rows(facts, order, layout.fact_key, label=f"{layout.fact}_numbered")
     return Star(
         dimensions={d.name: keyed[d.name].select(d.key, *d.attributes) for d in layout.dimensions},
         key_maps={
@@ -151,7 +155,7 @@ def build_star(merged: DataFrame, order: str = s.ROW_ORDER, layout: StarLayout =
         fact_name=layout.fact,
         fact_key=layout.fact_key,
         references=layout.references,
-        fact=facts.select(layout.fact_key, *layout.references, *layout.measures),
-        numbered=numbered,
+        fact=facts.drop(order),
+        flat=flat,
     )
 
