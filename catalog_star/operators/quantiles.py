@@ -24,98 +24,105 @@ ACCURACY = 5 * GRID
 
 @dataclass
 class _Search:
-    """A wanted rank (from 0) and two values of the column that enclose it.
+    """A wanted rank (from 0), and proven limits between which its value lies.
 
-    ``inside`` counts the values strictly between the two; None means not yet known.
+    ``first`` is the rank of the first value above ``low``, ``inside`` the number of
+    values strictly between the limits; a limit of None is open. ``trial`` holds two
+    estimated values within the limits, to be checked by counting.
     """
 
     column: str
     rank: int
+    inside: int
+    first: int = 0
     low: float | None = None
     high: float | None = None
-    first: int = 0
-    inside: int | None = None
-    estimate: float = 0
-    margin: int = 1
+    trial: tuple[float, float] | None = None
     found: float | None = None
 
-    @property
-    def range(self) -> tuple:
-        return (self.column, self.low, self.high)
-
-    def expected(self) -> float:
-        """Estimated number of values between the enclosing ones."""
-        return self.inside if self.inside is not None else self.estimate
+    def task(self) -> tuple:
+        """What the next round computes; equal tasks are computed once."""
+        return (self.column, *(self.trial or (self.low, self.high)), self.trial is not None)
 
-    def narrow(self, grid: list[float]) -> None:
-        """Take the grid values around the rank as the new enclosing values."""
+    def estimate(self, grid: list[float]) -> None:
+        """Try the approximate quantiles on both sides of the rank."""
         step = floor((self.rank - self.first) / max(self.inside - 1, 1) * GRID)
-        self.low = grid[max(step - self.margin, 0)]
-        self.high = grid[min(step + 1 + self.margin, GRID)]
-        self.estimate = self.inside * (2 * self.margin + 1) / GRID
-        self.inside = None
-
-    def restart(self) -> None:
-        """Search the whole column again, with more room around the estimate."""
-        self.low = self.high = self.inside = None
-        self.estimate = float("inf")
-        self.margin *= 2
+        self.trial = (grid[max(step - 1, 0)], grid[min(step + 2, GRID)])
+
+    def check(self, below: int, at_low: int, between: int, at_high: int) -> bool:
+        """Move the limits to the part that holds the rank; true if it is the middle one."""
+        low, high = self.trial
+        self.trial = None
+        end = self.first + self.inside
+        starts = [self.first, below, below + at_low, below + at_low + between, below + at_low + between + at_high]
+        part = max(i for i, start in enumerate(starts) if start <= self.rank)
+        if part == 0:
+            self.high, self.inside = low, below - self.first
+        elif part == 1:
+            self.found = low
+        elif part == 2:
+            self.low, self.high, self.first, self.inside = low, high, starts[2], between
+        elif part == 3:
+            self.found = high
+        else:
+            self.low, self.first, self.inside = high, starts[4], end - starts[4]
+        return part == 2
 
 
 def _value(column: str) -> Column:
     return values.ignore_nan(F.col(column).cast("double"))
 
 
-def _between(search: _Search) -> Column:
-    v = _value(search.column)
-    return v if search.low is None else F.when((v > search.low) & (v < search.high), v)
+def _between(column: str, low: float | None, high: float | None) -> Column:
+    v = _value(column)
+    if low is not None:
+        v = F.when(_value(column) > low, v)
+    if high is not None:
+        v = F.when(_value(column) < high, v)
+    return v
 
 
-def _count_ranges(df: DataFrame, searches: list[_Search]) -> None:
-    """Count the values below, at and between the enclosing values, then decide or narrow.
+def _round(df: DataFrame, searches: list[_Search]) -> None:
+    """One aggregate that counts around every trial and estimates within every range.
 
-    The enclosing values themselves are settled by their counts. That makes every round
-    shrink the range, also for columns in which a few values fill most of the rows.
-    Approximate quantiles are taken only of ranges that look too large to sort.
+    A trial's two values are settled by their own counts, and the parts around them
+    shrink, so each round makes progress even if a few values fill most rows or an
+    estimate misses. A range that is likely to stay large is estimated in the same pass.
     """
-    ranges = {s.range: s for s in searches}
     aggregates = []
     fractions = F.lit([i / GRID for i in range(GRID + 1)])
-    for n, s in enumerate(ranges.values()):
-        v = _value(s.column)
-        whole = s.low is None
-        zero = F.lit(0).cast("long")
-        aggregates += [
-            (zero if whole else F.count_if(v < s.low)).alias(f"below_{n}"),
-            (zero if whole else F.count_if(v == s.low)).alias(f"at_low_{n}"),
-            (zero if whole or s.low == s.high else F.count_if(v == s.high)).alias(f"at_high_{n}"),
-            F.count(_between(s)).alias(f"inside_{n}"),
-        ]
-        if s.expected() > SMALL_RANGE / 2:
-            aggregates.append(F.percentile_approx(_between(s), fractions, ACCURACY).alias(f"grid_{n}"))
+    tasks = {s.task(): s for s in searches}
+    for n, ((column, low, high, counting), s) in enumerate(tasks.items()):
+        inner = _between(column, low, high)
+        if counting:
+            v = _value(column)
+            aggregates += [
+                F.count_if(v < low).alias(f"below_{n}"),
+                F.count_if(v == low).alias(f"at_low_{n}"),
+                F.count(inner).alias(f"between_{n}"),
+                (F.count_if(v == high) if low != high else F.lit(0)).cast("long").alias(f"at_high_{n}"),
+            ]
+        if not counting or s.inside * 3 / GRID > SMALL_RANGE / 2:
+            aggregates.append(F.percentile_approx(inner, fractions, ACCURACY).alias(f"grid_{n}"))
     row = df.agg(*aggregates).first().asDict()
-    position = {key: n for n, key in enumerate(ranges)}
+    position = {task: n for n, task in enumerate(tasks)}
     for s in searches:
-        n = position[s.range]
-        below, at_low, inside, at_high = (row[f"{part}_{n}"] for part in ("below", "at_low", "inside", "at_high"))
-        s.first, s.inside = below + at_low, inside
-        if below <= s.rank < s.first:
-            s.found = s.low
-        elif s.first + inside <= s.rank < s.first + inside + at_high:
-            s.found = s.high
-        elif not s.first <= s.rank < s.first + inside:
-            s.restart()
-        elif inside > SMALL_RANGE and f"grid_{n}" in row:
-            s.narrow(row[f"grid_{n}"])
+        n = position[s.task()]
+        grid = row.get(f"grid_{n}")
+        if s.trial:
+            middle = s.check(*(row[f"{part}_{n}"] for part in ("below", "at_low", "between", "at_high")))
+            grid = grid if middle else None
+        if grid and s.found is None and s.inside > SMALL_RANGE:
+            s.estimate(grid)
 
 
 def _pick(df: DataFrame, searches: list[_Search]) -> None:
     """Read the wanted values off ranges that are small enough to sort."""
-    ranges = list(dict.fromkeys(s.range for s in searches))
-    first = {s.range: s for s in searches}
-    sorted_values = [F.array_sort(F.collect_list(_between(first[r]))).alias(f"r_{n}") for n, r in enumerate(ranges)]
+    ranges = list(dict.fromkeys((s.column, s.low, s.high) for s in searches))
+    sorted_values = [F.array_sort(F.collect_list(_between(*r))).alias(f"r_{n}") for n, r in enumerate(ranges)]
     wanted = [
-        F.get(f"r_{ranges.index(s.range)}", F.lit(s.rank - s.first)).alias(f"v_{n}") for n, s in enumerate(searches)
+        F.get(f"r_{ranges.index((s.column, s.low, s.high))}", F.lit(s.rank - s.first)).alias(f"v_{n}")
+        for n, s in enumerate(searches)
     ]
     row = df.agg(*sorted_values).select(*wanted).first()
     for n, s in enumerate(searches):
@@ -140,11 +147,11 @@ def exact_quantiles(
     for column, n in counts.items():
         for f in fractions if n else ():
             for rank in (floor((n - 1) * f), ceil((n - 1) * f)):
-                searches.setdefault((column, rank), _Search(column, rank, estimate=n))
+                searches.setdefault((column, rank), _Search(column, rank, n))
     while open_searches := [s for s in searches.values() if s.found is None]:
-        wide = [s for s in open_searches if s.inside is None or s.inside > SMALL_RANGE]
-        if wide:
-            _count_ranges(df, wide)
+        large = [s for s in open_searches if s.trial or s.inside > SMALL_RANGE]
+        if large:
+            _round(df, large)
         else:
             _pick(df, open_searches)
 
