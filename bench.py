@@ -28,7 +28,7 @@ FROM_RAW = [
     "anti_load", "insert_ignored", "star_load_counts", "orphan_keys",
     "null_profile", "distinct_counts", "value_counts_top", "value_share", "by_year", "sort_head",
     "describe", "corr_matrix", "histogram_50",
-    "quality_audit", "match_rate", "csv_roundtrip", "encoding_fallback", "bad_lines",
+    "quality_audit", "match_rate", "csv_roundtrip", "encoding_fallback", "bad_lines", "seeded_awards", "run_audit",
 ]
 KEY_FIGURES = ["kpi_total_tracks", "kpi_winners", "kpi_genre_winners", "kpi_pop_dance", "kpi_features"]
 

@@ -40,7 +40,9 @@ def collapse_whitespace(c: Column) -> Column:
 def title_case(c: Column) -> Column:
     """Title-case every run of cased letters, restarting after any other character.
 
-    ``initcap`` alone restarts only after a blank, which leaves ``r&b`` as ``R&b``.
+    ``initcap`` alone restarts only after a blank, which leaves ``r&b`` as ``R&b``. Each
+    run is lowered by itself: a capital sigma that ends a run becomes a final one even if
+    a mark and more letters follow.
     """
 
     def capitalise(run: Column) -> Column:

@@ -21,6 +21,11 @@ def _rows(named: dict[str, Sequence[Column]], fields: Sequence[str]) -> Column:
     return F.inline(F.array(*structs))
 
 
+def present(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Those of ``columns`` that the table has."""
+    return [c for c in columns if c in df.columns]
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
 

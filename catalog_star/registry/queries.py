@@ -12,7 +12,7 @@ from catalog_star import schemas as s
 from catalog_star.functions import text, values
 from catalog_star.operators import clean, dedup, enrich, profile, quality
 from catalog_star.operators.keys import extend_keys, number_rows
-from catalog_star.plans import kpis
+from catalog_star.plans import etl, kpis
 from catalog_star.registry import comparison as c
 from catalog_star.registry.roles import awards_raw, catalogue, table
 from catalog_star.sinks.files import write_csv
@@ -443,7 +443,8 @@ def null_profile(spark, folder):
        union all select 'props', count(distinct props) from events"""
 )
 def distinct_counts(spark, folder):
-    return profile.distinct_counts(table(spark, folder, "events"), ["user_id", "event_type", "props"])
+    events = table(spark, folder, "events")
+    return profile.distinct_counts(events, profile.present(events, ["user_id", "event_type", "genre", "props"]))
 
 
 @query("select event_type, count(*) as n from events where event_type is not null group by event_type")
@@ -630,3 +631,73 @@ def na_tokens(spark, folder):
     return table(spark, folder, "nation").select(
         "n_nationkey", null_tokens(F.col("n_name"), ["NATION_1", "NATION_2"]).alias("n_name")
     )
+
+
+# --- whole jobs ---------------------------------------------------------------------------------
+
+
+@query(c.over("awards_raw", "select * from awards_raw"))
+def seeded_awards(spark, folder):
+    """The awards table after its seed from a CSV file."""
+    path = stage_path(spark, "seed")
+    write_csv(awards_raw(spark, folder), path)
+    house = FolderWarehouse(spark, stage_path(spark, "seed_house"))
+    etl.seed_awards(spark, path, house)
+    return house.read("awards")
+
+
+def _figures(step: str, source: str, **figures: str) -> str:
+    return " union all ".join(
+        f"select '{step}' as step, '{name}' as figure, cast({sql} as bigint) as value from {source}"
+        for name, sql in figures.items()
+    )
+
+
+_TABLES = ["dim_artist", "dim_genre", "dim_track", "fact_streams"]
+
+
+@query(
+    c.over(
+        "fact_streams",
+        " union all ".join(
+            [
+                _figures(
+                    "awards: missing filled",
+                    "awards_raw",
+                    **{f: f"count(*) - count({f})" for f in ("nominee", "artist", "workers")},
+                ),
+                _figures(
+                    "awards: years",
+                    "awards_raw",
+                    total="count(*)",
+                    violations="count(*) filter (year < 1958 or year > 2030)",
+                    lowest="min(year)",
+                    highest="max(year)",
+                ),
+                _figures(
+                    "tracks: cleaning",
+                    "tracks_distinct",
+                    rows_in="sum(copies)",
+                    duplicates_removed="sum(copies - 1)",
+                    missing_removed="count(*) filter (track_name is null)",
+                    invalid_removed="count(*) filter (track_name is not null and time_signature = 0)",
+                    rows_out="count(*) filter (track_name is not null and time_signature is distinct from 0)",
+                ),
+                _figures(
+                    "merge: matches",
+                    "merged",
+                    total="count(*)",
+                    matched="count(*) filter (grammy_winner)",
+                    unmatched="count(*) filter (not grammy_winner)",
+                    matched_on_empty="count(*) filter (grammy_winner and primary_artist_normalized = '')",
+                ),
+                *[_figures(f"load: {t}", t, total="count(*)", new="count(*)", omitted="0 * count(*)") for t in _TABLES],
+            ]
+        ),
+    )
+)
+def run_audit(spark, folder):
+    """Every figure of a whole run: clean, enrich, derive the star and load it."""
+    house = FolderWarehouse(spark, stage_path(spark, "run_house"))
+    done = etl.run(catalogue(spark, folder).tracks_raw(), awards_raw(spark, folder), house)
+    return done.audit.frame().drop("position")

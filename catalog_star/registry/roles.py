@@ -109,7 +109,7 @@ class Catalogue:
         return self._once("tracks_raw", make)
 
     def tracks_clean(self) -> DataFrame:
-        return self._once("tracks_clean", lambda: stage(clean_tracks(self.tracks_raw()), "tracks_clean"))
+        return clean_tracks(self.tracks_raw())
 
     def award_summary(self) -> DataFrame:
         raw = awards_raw(self._spark, self._folder)

@@ -30,12 +30,15 @@ def settings(spark):
     def use(**values):
         for name, value in values.items():
             key = name.replace("__", ".")
-            before[key] = spark.conf.get(key)
+            before[key] = spark.conf.get(key, None)
             spark.conf.set(key, value)
 
     yield use
     for key, value in before.items():
-        spark.conf.set(key, value)
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
 
 
 @pytest.fixture
@@ -51,7 +54,7 @@ def splitting(settings):
 
 
 def test_star_plans_have_no_python_and_no_single_partition(spark):
-    star = catalogue(spark, DATA).star()
+    star = catalogue(spark, "/root/testdata/sf0.01").star()
     for df in (star.fact, *star.dimensions.values()):
         text = plan(df)
         assert "Python" not in text and "Window" not in text and "SinglePartition" not in text
