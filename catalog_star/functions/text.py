@@ -12,14 +12,15 @@ from pyspark.sql.types import StringType
 
 # The characters Python treats as whitespace.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
+    "\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-_WS = r"[\s\x1c-\x1f]"
+_WS = r"[\s\x1c-\x1f]"  # with (?U), the same characters as a pattern
 
 # Markers that end the lead artist's name.
-COLLABORATION = rf"(?U){_WS}feat\.?|{_WS}with{_WS}|{_WS}&{_WS}|\("
+COLLABORATION = rf"(?U){_WS}(?:feat\.?|with{_WS}|&{_WS})|\("
+_MARKERS = ("feat", "with", "&", "(")
 
 MISSING_NAME = "N/A"
 UNMATCHABLE = "n/a"
@@ -65,8 +66,13 @@ def first_of(c: Column, separator: str = ",") -> Column:
 
 def normalize_name(c: Column) -> Column:
     """Join key of a name: lower case, lead artist only, missing as ``n/a``."""
-    lead = F.split(strip(F.lower(c)), COLLABORATION, 2)[0]
-    return F.when(c.isNull() | (c == MISSING_NAME), UNMATCHABLE).otherwise(strip(lead))
+    name = strip(F.lower(c))
+    marked = F.lit(False)
+    for marker in _MARKERS:
+        marked = marked | F.contains(name, F.lit(marker))
+    # Few names hold a marker; the others are spared the pattern.
+    lead = F.when(marked, strip(F.split(name, COLLABORATION, 2)[0])).otherwise(name)
+    return F.when(c.isNull() | (c == MISSING_NAME), UNMATCHABLE).otherwise(lead)
 
 
 def repair_mojibake(c: Column) -> Column:
