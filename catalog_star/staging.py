@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: tempfile.TemporaryDirectory | None = None
+_handed_out: list[str] = []
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -29,7 +30,9 @@ def stage_root(spark: SparkSession) -> str:
 
 def stage_path(spark: SparkSession, label: str) -> str:
     """A path under the stage root that no other run uses."""
-    return f"{stage_root(spark)}/catalog_star/{label}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/catalog_star/{label}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
@@ -42,3 +45,17 @@ def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     target = path or stage_path(spark, label)
     df.write.mode("overwrite").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the stage tables this program has written; returns how many paths were dropped.
+
+    Call it once everything derived from them has been written elsewhere.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    while _handed_out:
+        path = hadoop.Path(_handed_out.pop())
+        dropped += bool(path.getFileSystem(conf).delete(path, True))
+    return dropped

@@ -5,11 +5,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from catalog_star import staging
 from catalog_star.operators import dedup, enrich
 from catalog_star.operators.star import look_up_keys
 from catalog_star.registry.roles import catalogue, table
 from catalog_star.staging import stage, stage_root
-from catalog_star.sinks.warehouse import unseen_rows
+from catalog_star.sinks.warehouse import CatalogWarehouse, FolderWarehouse, unseen_rows
 
 DATA = "/root/testdata/sf0.001"
 
@@ -112,6 +113,29 @@ def test_hot_key_is_split_in_incremental_load(spark, splitting):
     assert "skew=true" in final_plan(new) and new.count() == 20_000
 
 
+def test_bucketed_table_is_compared_without_a_shuffle(spark, settings, tmp_path):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    spark.sql(f"create database plans location '{tmp_path}/plans'")
+    try:
+        house = CatalogWarehouse(spark, "plans", buckets=4)
+        rows = spark.range(0, 1000, 1, 6).withColumnRenamed("id", "k")
+        house.append(rows, "t", "k")
+        assert len(list((tmp_path / "plans" / "t").glob("*.parquet"))) == 4
+        new = unseen_rows(spark.range(500, 1500, 1, 6).withColumnRenamed("id", "k"), house.read("t"), "k")
+        assert final_plan(new).split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+        assert new.count() == 500
+    finally:
+        spark.sql("drop database plans cascade")
+
+
+def test_dropped_stages_are_gone(spark, monkeypatch):
+    monkeypatch.setattr(staging, "_handed_out", [])
+    kept = stage(spark.range(3), "gone")
+    assert kept.count() == 3
+    assert staging.drop_stages(spark) == 1
+    assert FolderWarehouse(spark, stage_root(spark)).read("catalog_star/gone") is None
+
+
 def test_stage_folder_is_the_checkpoint_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert stage_root(spark) == named.rstrip("/")
