@@ -24,23 +24,17 @@ WORD_BEGIN = "▁"
 
 
 class Pieces:
-    """A vocabulary with log probabilities as a trie: ``step[state, character]`` and ``score[state]``."""
+    """A vocabulary with log probabilities as a trie: a state maps characters to states, and "" to its score."""
 
     def __init__(self, scores: dict[str, float], byte_score: float):
-        self.step: dict[tuple[int, str], int] = {}
-        self.score: dict[int, float] = {}
+        self.root: dict = {}
         self.byte_score = byte_score
         self.characters = {x for x in scores if len(x) == 1}
-        size = 0
         for piece, score in scores.items():
-            state = 0
+            state = self.root
             for character in piece:
-                after = self.step.get((state, character))
-                if after is None:
-                    size += 1
-                    after = self.step[state, character] = size
-                state = after
-            self.score[state] = score
+                state = state.setdefault(character, {})
+            state[""] = score
 
     @classmethod
     def from_sentencepiece(cls, path: str) -> Pieces:
@@ -54,6 +48,19 @@ class Pieces:
         return cls({model.id_to_piece(i): -math.log(rank + 1) - scale for rank, i in enumerate(ranked)}, -math.log(size) - scale)
 
 
+class Node:
+    """A prefix: its best score, that segmentation's tokens, and the vocabulary states still open at its end."""
+
+    __slots__ = ("child", "score", "count", "open", "terminal")
+
+    def __init__(self, score: float, count: int, still_open: list[tuple[dict, float, int]]):
+        self.child: dict[str, Node] = {}
+        self.score = score
+        self.count = count
+        self.open = still_open
+        self.terminal: int | None = None
+
+
 class PretokenTrie:
     """Distinct pre-tokens with forward scores at their nodes; restarted when it has ``most_nodes``."""
 
@@ -63,40 +70,39 @@ class PretokenTrie:
         self.clear()
 
     def clear(self) -> None:
-        self.child: dict[tuple[int, str], int] = {}
-        self.forward: list[tuple[float, int]] = [(0.0, 0)]
-        self.open: list[list[tuple[int, float, int]]] = [[]]
-        self.terminal: dict[int, int] = {}
+        self.size = 0
+        self.root = Node(0.0, 0, [])
 
     def insert(self, pretoken: str) -> int:
         """Add a pre-token; the number of tokens of its best segmentation."""
-        node = 0
+        if self.size > self.most_nodes:
+            self.clear()
+        node = self.root
         for character in pretoken:
-            after = self.child.get((node, character))
-            node = self._grow(node, character) if after is None else after
-        count = self.terminal[node] = self.forward[node][1]
-        return count
-
-    def _grow(self, parent: int, character: str) -> int:
-        pieces = self.pieces
-        score, count = self.forward[parent]
+            node = node.child.get(character) or self._grow(node, character)
+        node.terminal = node.count
+        return node.count
+
+    def _grow(self, parent: Node, character: str) -> Node:
         still_open, best, fewest = [], -math.inf, 0
-        for state, from_score, from_count in (*self.open[parent], (0, score, count)):
-            after = pieces.step.get((state, character))
+        for state, score, count in (*parent.open, (self.pieces.root, parent.score, parent.count)):
+            after = state.get(character)
             if after is None:
                 continue
-            still_open.append((after, from_score, from_count))
-            piece = pieces.score.get(after)
-            if piece is not None and (from_score + piece, -from_count - 1) > (best, -fewest):
-                best, fewest = from_score + piece, from_count + 1
-        if character not in pieces.characters:
+            if len(after) > 1 or "" not in after:
+                still_open.append((after, score, count))
+            piece = after.get("")
+            if piece is not None:
+                score += piece
+                if score > best or score == best and count + 1 < fewest:
+                    best, fewest = score, count + 1
+        if character not in self.pieces.characters:
             n = len(character.encode("utf-8", "replace"))
-            if (score + n * pieces.byte_score, -count - n) > (best, -fewest):
-                best, fewest = score + n * pieces.byte_score, count + n
-        node = len(self.forward)
-        self.child[parent, character] = node
-        self.forward.append((best, fewest))
-        self.open.append(still_open)
+            score = parent.score + n * self.pieces.byte_score
+            if score > best or score == best and parent.count + n < fewest:
+                best, fewest = score, parent.count + n
+        node = parent.child[character] = Node(best, fewest, still_open)
+        self.size += 1
         return node
 
 
@@ -108,7 +114,7 @@ def token_counts(
     vocabulary: str,
     id: str = "doc_id",
     text: str = "text",
-    most_nodes: int = 150_000,
+    most_nodes: int = 20_000,
     most_words: int = 2_000_000,
 ) -> DataFrame:
     """Pre-tokens and tokens of every whole text: id, n_pretokens, n_tokens.
@@ -130,8 +136,6 @@ def token_counts(
         def make(words: list[bytes]) -> np.ndarray:
             found = np.zeros(len(words), np.int64)
             for i in sorted(range(len(words)), key=words.__getitem__):  # neighbours share most of their nodes
-                if len(trie.forward) > most_nodes:
-                    trie.clear()
                 found[i] = trie.insert(WORD_BEGIN + words[i].decode("utf-8", "replace"))
             return found
 
