@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from catalog_star.llm import quality, tokencounts
+from catalog_star.llm import quality, tokencounts, warc
+from catalog_star.staging import stage_path
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -20,6 +21,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archive = stage_path(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), archive)
+    found = warc.read_archives(spark, archive, with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op1_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, html, sha1(html) AS hex, max(page_id) OVER (PARTITION BY html) AS latest FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS INT), 5) AS BIGINT) >> CAST(15 - i % 4 * 5 AS INT)) & 31 AS INT) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = latest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> latest THEN latest END AS refers_to
+FROM d
+"""
+
+
 @query
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokencounts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
