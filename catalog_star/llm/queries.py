@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from catalog_star.llm import quality, tokencounts, warc
+from catalog_star.llm import quality, tokencounts, toxicity, warc
 from catalog_star.staging import stage_path
 
 QUERIES = {}
@@ -49,3 +50,17 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(table(spark, folder, "documents"))
+
+
+def in_fold(column: str, folds: int, fold: int):
+    """Whether the CRC-32 of an id as text falls in a fold."""
+    return F.coalesce(F.crc32(F.col(column).cast("string")) % folds == fold, F.lit(False))
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    learn = labels.where(~in_fold("doc_id", 5, 0))
+    model = toxicity.fit(toxicity.draw_labelled(docs, learn, "doc_id", "text", "toxic", most_rows=1500))
+    scored = toxicity.score_texts(docs, model, {"doc_id": "doc_id"})
+    return scored.select("doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
