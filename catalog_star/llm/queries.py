@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_star.llm import quality, tokencounts, toxicity, warc
+from catalog_star.llm import language, quality, tokencounts, toxicity, warc
 from catalog_star.staging import stage_path
 
 QUERIES = {}
@@ -64,3 +64,12 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.fit(toxicity.draw_labelled(docs, learn, "doc_id", "text", "toxic", most_rows=1500))
     scored = toxicity.score_texts(docs, model, {"doc_id": "doc_id"})
     return scored.select("doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op4_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    learn = docs.where(~in_fold("doc_id", 3, 1))
+    network = language.fit(language.draw_labelled(learn, "doc_id", "text", "lang", rows_per_language=400))
+    found = language.identify(docs, network, {"doc_id": "doc_id"})
+    return found.select("doc_id", in_fold("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")

@@ -1,11 +1,12 @@
 """Toxicity by compression distance: two zstandard dictionaries, window by window.
 
-The dictionaries hold the commonest words of all labelled texts and, at their ends, the words
-that mark one class. A word's weight is the number of different neighbourhoods it is met in
+Both dictionaries hold the commonest words of ordinary labelled texts, at the same place; the toxic one also holds the
+words that mark toxic texts, where the other is blank. A word's weight is the number of different neighbourhoods it is met in
 within its class, times the logarithm of how much denser these lie than in the other class; copies of
 a text add no neighbourhood. A word marks its class if it has at least ``least_share`` of the greatest weight. A window's
 distance is its compressed length with the ordinary dictionary less that with the toxic one. Matches count
-in it, literals hardly do: the fast strategy leaves literals as they are. A logistic curve over a text's
+in it, literals hardly do: the fast strategy leaves literals as they are. A window begins with a run of bytes that
+both dictionaries hold, for zstandard would store a window raw that it can hardly shorten. A logistic curve over a text's
 largest and mean distance, fitted to labelled texts that the dictionaries have not seen, is the calibrated threshold.
 """
 
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from catalog_star.llm.texts import Texts, map_texts
 
 _WORD = re.compile(r"[^\W\d_]{3,}")
+_ANCHOR = bytes(range(128, 208))
 
 
 def word_windows(text: str, size: int) -> list[bytes]:
@@ -86,7 +88,7 @@ class ToxicityModel:
         windows = word_windows(text, self.window_bytes)
         if not windows:
             return 0.0, 0.0, 0.0
-        distance = [len(ordinary.compress(x)) - len(toxic.compress(x)) for x in windows]
+        distance = [len(ordinary.compress(_ANCHOR + x)) - len(toxic.compress(_ANCHOR + x)) for x in windows]
         return float(max(distance)), sum(distance) / len(distance), sum(x > 2 for x in distance) / len(distance)
 
     def score(self, features: np.ndarray) -> np.ndarray:
@@ -97,7 +99,7 @@ def _design(features: np.ndarray) -> np.ndarray:
     return np.c_[np.ones(len(features)), np.clip(features[:, 0], -10, 30) / 5, np.clip(features[:, 1], -10, 30) / 3, features[:, 2]]
 
 
-def fit(texts: list[tuple[str, int]], common_words: int = 150, least_share: float = 0.15, window_bytes: int = 512) -> ToxicityModel:
+def fit(texts: list[tuple[str, int]], common_words: int = 150, least_share: float = 0.15, window_bytes: int = 384) -> ToxicityModel:
     """A model of labelled texts (text, 1 if toxic): two of three make the dictionaries, the third the curve."""
     seen = [x for i, x in enumerate(texts) if i % 3]
     held = [x for i, x in enumerate(texts) if not i % 3]
@@ -107,8 +109,8 @@ def fit(texts: list[tuple[str, int]], common_words: int = 150, least_share: floa
     counts = Counter(w for t in ordinary for w in t.lower().split())
     common = [w for w, _ in sorted(counts.items(), key=lambda p: (-p[1], p[0]))[:common_words]][::-1]
     shared = f" {' '.join(common)} "
-    marks = f"{' '.join(marking_words(toxic, ordinary, least_share))} "
-    model = ToxicityModel((shared + marks).encode(), shared.encode(), (), window_bytes)
+    marks = f" {' '.join(marking_words(toxic, ordinary, least_share))}".encode()
+    model = ToxicityModel(_ANCHOR + marks + shared.encode(), _ANCHOR + bytes(len(marks)) + shared.encode(), (), window_bytes)
     packers = model.packers()
     design = _design(np.array([model.features(t, packers) for t, _ in held]))
     label = np.array([k for _, k in held], float)

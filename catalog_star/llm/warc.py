@@ -183,7 +183,7 @@ def write_archives(
     both = rows.select(*_KEY, "__payload", F.lit(None).cast(roles.schema["__refers"].dataType).alias("__refers")).unionByName(roles)
     dealt = (
         both.withColumn("__shard", shard_of("__url", F.col("__page").cast("string")))
-        .repartition(shards, "__shard")
+        .repartitionByRange(shards, "__shard")  # which tasks write a shard has no influence on it
         .sortWithinPartitions("__shard", *_KEY, F.col("__payload").isNotNull())
     )
 
@@ -320,6 +320,7 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = True, b
                     raise ValueError(f"{name} has {count} records, not {records}")
                 yield pa.RecordBatch.from_pylist(found, schema=schema)
 
-    files = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest").select("name", "records").repartition("name")
+    files = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest").select("name", "records")
+    files = files.repartitionByRange(max(1, files.count()), "name")
     kinds = "page_id long, url string, record_id string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
     return files.mapInArrow(read, kinds)
