@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_star.llm import language, quality, tokencounts, toxicity, warc
+from catalog_star.llm import language, quality, simhash, tokencounts, toxicity, warc
 from catalog_star.staging import stage_path
 
 QUERIES = {}
@@ -73,3 +73,8 @@ def op4_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
     network = language.fit(language.draw_labelled(learn, "doc_id", "text", "lang", rows_per_language=400))
     found = language.identify(docs, network, {"doc_id": "doc_id"})
     return found.select("doc_id", in_fold("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, folder, "documents"))
