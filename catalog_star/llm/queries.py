@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_star.llm import language, quality, simhash, tokencounts, toxicity, warc
+from catalog_star.llm import language, mixing, quality, simhash, tokencounts, toxicity, warc
 from catalog_star.staging import stage_path
 
 QUERIES = {}
@@ -78,3 +78,12 @@ def op4_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, folder, "documents"))
+
+
+@query
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixture = mixing.mix_sources(table(spark, folder, "documents"))
+    return mixing.taken_words(mixture).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+SQL["op5_mixing"] = mixing.comparison_sql("documents")
