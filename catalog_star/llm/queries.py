@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_star.llm import language, mixing, packing, quality, simhash, tokencounts, toxicity, warc
+from catalog_star.llm import embeddings, language, mixing, packing, quality, simhash, tokencounts, toxicity, warc
 from catalog_star.staging import stage_path
 
 QUERIES = {}
@@ -92,3 +92,8 @@ SQL["op5_mixing"] = mixing.comparison_sql("documents")
 @query
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op7_pivot_index(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, folder, "embeddings"))
