@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog_star.llm.components import components, roots
+from catalog_star.llm.sampling import smallest_hashes
 from catalog_star.staging import stage
 
 
@@ -122,8 +123,8 @@ def pivot_links(nodes: DataFrame, threshold: float = 0.98, nearest: int = 6, lea
     counts = {r[0]: r[1] for r in nodes.groupBy("dim").count().collect()}
     wanted = {dim: max(2 * nearest, min(most_pivots, int(4 * math.sqrt(n)))) for dim, n in counts.items()}
     pivots = {}
-    for dim, n in wanted.items():  # nodes are named by hash, so the first names are a draw
-        drawn = nodes.where(F.col("dim") == dim).orderBy("node").limit(n).select("vector").collect()
+    for dim, n in wanted.items():
+        drawn = smallest_hashes(nodes.where(F.col("dim") == dim).select("node", "vector"), ["node"], n).select("vector").collect()
         pivots[dim] = spread(units(np.array([r[0] for r in drawn], np.float64)), threshold)
     postings = stage(_described(nodes, pivots, nearest), "postings")
     key = ["label", "dim", "low", "high"]

@@ -12,9 +12,10 @@ import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from catalog_star.llm.sampling import hash_below
 from catalog_star.llm.texts import Texts, map_texts
 
 #: The language of a text that is null or has no letter.
@@ -175,15 +176,18 @@ def draw_labelled(docs: DataFrame, id: str, text: str, language: str, rows_per_l
     Of a text of more than ``most_chars`` characters, eight pieces spread evenly over the whole of it are
     taken. Ids and languages alone are ranked; the languages are taken to be few, at most 1,000.
     """
-    from pyspark.sql import Window
-
     size = F.length("__text")
     pieces = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.substring("__text", F.floor(i * size / 8).cast("int") + 1, F.lit(most_chars // 8))), "")
     rows = docs.select(
         F.col(f"`{id}`").cast("string").alias("__id"), F.col(f"`{language}`").cast("string").alias("__lang"), F.col(f"`{text}`").cast("string").alias("__text")
     ).where("__lang is not null and __text rlike '\\\\p{L}'")
+    # far more rows than wanted are left out by hash first, so that ranking does not grow with the number of partitions
+    counts = {r[0]: r[1] for r in docs.select(F.col(f"`{language}`").cast("string").alias("x")).where("x is not null").groupBy("x").count().collect()}
+    if not counts:
+        return []
+    share = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, 8.0 * rows_per_language / n)])[F.col("__lang")]
+    rows = rows.where(hash_below(F.xxhash64("__id"), share))
     short = rows.select("__lang", F.xxhash64("__id").alias("__h"), "__id", F.when(size > most_chars, pieces).otherwise(F.col("__text")).alias("__text"))
-    # ranks within each partition come first (WindowGroupLimit), so a language's rows never meet in one task
     order = Window.partitionBy("__lang").orderBy("__h", "__id", "__text")
     drawn = short.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= rows_per_language).collect()
     return [(r["__text"], r["__lang"]) for r in sorted(drawn, key=lambda r: (zlib.crc32(r["__id"].encode()) if r["__id"] else 0, r["__lang"], r["__text"]))]

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_star.llm import embeddings, language, mixing, packing, quality, simhash, tokencounts, toxicity, warc
+from catalog_star.llm import embeddings, language, mixing, packing, quality, simhash, substrings, tokencounts, toxicity, warc
 from catalog_star.staging import stage_path
 
 QUERIES = {}
@@ -97,3 +97,8 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_pivot_index(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query
+def op6_collinear_chains(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.repeated_passages(table(spark, folder, "documents")).drop("key")

@@ -22,6 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalog_star.llm.sampling import smallest_hashes
 from catalog_star.llm.texts import Texts, map_texts
 
 _WORD = re.compile(r"[^\W\d_]{3,}")
@@ -135,8 +136,7 @@ def draw_labelled(docs: DataFrame, labels: DataFrame, id: str, text: str, label:
     """
     thin = labels.select(F.col(f"`{id}`").alias("__id"), F.col(f"`{label}`").cast("int").alias("__label")).where("__id is not null and __label in (0, 1)")
     thin = thin.groupBy("__id").agg(F.max("__label").alias("__label"))
-    order = [F.xxhash64("__id"), F.col("__id")]
-    drawn = thin.where("__label = 1").orderBy(*order).limit(most_rows).union(thin.where("__label = 0").orderBy(*order).limit(most_rows))
+    drawn = smallest_hashes(thin.where("__label = 1"), ["__id"], most_rows).union(smallest_hashes(thin.where("__label = 0"), ["__id"], most_rows))
     size = F.length("__text")
     pieces = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.substring("__text", F.floor(i * size / 32).cast("int") + 1, F.lit(most_chars // 32))), " ")
     texts = docs.select(F.col(f"`{id}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("__text")).where("__text is not null")

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog_star.llm.files import exists, open_store
+from catalog_star.llm.sampling import smallest_hashes
 
 #: The profile of revisits by payload, and the marker of a whole archive.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -128,8 +129,7 @@ def shard_bounds(keys: DataFrame, shards: int, most_keys: int) -> list[tuple]:
     """First keys of all shards but the first: quantiles of the ``most_keys`` keys of smallest hash, whatever the partitioning."""
     if shards < 2:
         return []
-    columns = keys.columns
-    drawn = keys.distinct().orderBy(F.xxhash64(*columns), *columns).limit(most_keys).collect()
+    drawn = smallest_hashes(keys.distinct(), keys.columns, most_keys).collect()
     ranked = sorted(tuple(_sortable(x) for x in row) for row in drawn)
     cuts = {ranked[len(ranked) * i // shards] for i in range(1, shards)} if ranked else set()
     return sorted(cuts - {ranked[0]}) if ranked else []
