@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog_star.llm.components import components, roots
+from catalog_star.llm.sampling import smallest_hashes
 from catalog_star.llm.texts import Texts, map_texts
 from catalog_star.staging import stage
 
@@ -155,16 +156,19 @@ def close_pairs(homes: np.ndarray, guests: np.ndarray, radius: int, bucket: int
                     yield h[i + x], g[j + y]
 
 
-def near_links(values: DataFrame, column: str, radius: int = 3, leaf_size: int = 4096, sample_size: int = 32_768) -> DataFrame:
+def near_links(values: DataFrame, column: str, radius: int = 3, leaf_scale: int = 32, sample_size: int = 32_768) -> DataFrame:
     """Links (a, b) that connect all distinct 64-bit values within ``radius`` bits as if all pairs were there.
 
-    The tree is built on the ``sample_size`` values of smallest hash. A leaf of more than ``leaf_size`` values is parted
+    The tree is built on the ``sample_size`` values of smallest hash. A leaf is meant to hold ``leaf_scale`` times the square root of
+    the number of values: each level of this tree copies about half of the guests, each level of a leaf's own tree copies
+    nothing, so shards grow in size as well as in number. A leaf of more values is parted
     into blocks by hash, as are its guests if there are 16 times as many; all pairs of blocks are searched. Within a block only links along a spanning forest are returned.
     """
     spark = values.sparkSession
     values = stage(values.select(F.col(column).cast("long").alias("value")).where("value is not null").distinct(), "fingerprints")
     count = values.count()
-    sample = np.array([r[0] for r in values.orderBy(F.xxhash64("value"), "value").limit(sample_size).collect()], np.int64).view(np.uint64)
+    leaf_size = max(256, int(leaf_scale * count**0.5))
+    sample = np.array([r[0] for r in smallest_hashes(values, ["value"], sample_size).collect()], np.int64).view(np.uint64)
     tree = Tree.build(sample, max(8, leaf_size * len(sample) // max(1, count)), radius)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

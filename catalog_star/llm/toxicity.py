@@ -35,11 +35,10 @@ def word_windows(text: str, size: int) -> list[bytes]:
     found, at = [], 0
     while at < len(data) - 1:
         end = min(len(data), at + size)
-        if end < len(data):
-            blank = data.rfind(b" ", at + size // 2, end)
-            end = blank + 1 if blank > 0 else end
+        blank = data.rfind(b" ", at + size // 2, end) if end < len(data) else -1
+        end = blank + 1 if blank > 0 else end
         found.append(data[at:end])
-        at = end - 1 if end < len(data) else end
+        at = blank if blank > 0 else end
     return found
 
 
