@@ -25,7 +25,8 @@ MISSING_NAME = "N/A"
 UNMATCHABLE = "n/a"
 
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
-_TO_END = 2**31 - 1
+# Noncharacters: the first marks where a run of letters begins, the second protects a first one that was there.
+_MARK, _GUARD = "\ufdd0", "\ufdd1"
 
 
 def strip(c: Column) -> Column:
@@ -40,18 +41,14 @@ def collapse_whitespace(c: Column) -> Column:
 def title_case(c: Column) -> Column:
     """Title-case every run of cased letters, restarting after any other character.
 
-    ``initcap`` alone restarts only after a blank, which leaves ``r&b`` as ``R&b``. Each
-    run is lowered by itself: a capital sigma that ends a run becomes a final one even if
-    a mark and more letters follow.
+    ``initcap`` alone restarts only after a blank, which leaves ``r&b`` as ``R&b``: so a mark and a
+    blank are put before each run and taken out again. Each run is lowered by itself: a capital
+    sigma that ends a run becomes a final one even if a mark and more letters follow.
     """
-
-    def capitalise(run: Column) -> Column:
-        first = F.substring(run, 1, 1)
-        rest = F.lower(run).substr(F.length(F.lower(first)) + 1, F.lit(_TO_END))
-        return F.concat(F.initcap(first), rest)
-
-    runs = F.regexp_extract_all(c, F.lit(f"([{_CASED}]+|[^{_CASED}]+)"), 1)
-    return F.array_join(F.transform(runs, capitalise), "")
+    guarded = F.replace(c, F.lit(_MARK), F.lit(_MARK + _GUARD))
+    parted = F.regexp_replace(guarded, f"(?<=[^{_CASED}])(?=[{_CASED}])", f"{_MARK} ")
+    joined = F.replace(F.initcap(parted), F.lit(f"{_MARK} "), F.lit(""))
+    return F.replace(joined, F.lit(_MARK + _GUARD), F.lit(_MARK))
 
 
 def replace_literal(c: Column, old: str, new: str) -> Column:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from catalog_star.staging import stage
 
@@ -51,13 +51,25 @@ def keep_first(
     return df.withColumn("_rank", rank).where("_rank = 1").select(*columns)
 
 
+def key_digest(columns: Sequence[str]) -> Column:
+    """256 bits that stand for the values of some columns; nulls are equal to each other and to nothing else.
+
+    Values are marked and prefixed by their length, so no two lists of values read alike.
+    """
+    parts = []
+    for c in columns:
+        value = F.col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-")))
+    return F.unhex(F.sha2(F.concat(*parts).cast("binary"), 256))
+
+
 def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: ``repeats`` after the first copy, and ``members`` of all repeated groups.
 
-    Nulls compare equal, so the groups are counted rather than their distinct values.
+    Groups are counted by digest, so long values stay where they are. Nulls compare equal.
     """
     return (
-        df.groupBy(*keys)
+        df.groupBy(key_digest(keys).alias("_digest"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .agg(
             F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("repeats"),
@@ -69,20 +81,13 @@ def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def duplicated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows whose key occurs more than once.
 
-    A window count would pull each whole group into one task. Counting is a
-    two-sided aggregate instead, and the repeated keys come back through a semi
-    join: they are staged, so a small set is broadcast by its true size and a large
-    one is a plain shuffle join whose hot keys adaptive execution splits.
+    A window count would pull each whole group into one task. Counting is a two-sided aggregate of digests
+    instead, and the repeated ones come back through a semi join: they are staged, so a small
+    set is broadcast by its true size and a large one is a plain shuffle join whose hot keys adaptive
+    execution splits.
     """
+    digest = key_digest(keys)
     repeated = stage(
-        df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where("_n > 1")
-        .drop("_n"),
-        "repeated_keys",
+        df.groupBy(digest.alias("_repeated")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "repeated_keys"
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    condition = same[0]
-    for part in same[1:]:
-        condition = condition & part
-    return df.join(repeated, condition, "left_semi")
+    return df.join(repeated, digest == F.col("_repeated"), "left_semi")

@@ -1,17 +1,12 @@
 """Dense surrogate keys 1..n in a given order, without a single-partition window.
 
-Both forms sort rows within ordered partitions and add the number of rows in the
-partitions before. ``number_rows`` takes any order columns and stages its result.
-``number_by_buckets`` is for a whole-number order column of a staged table: it cuts the
-column's range evenly, so it needs neither a sample of the rows nor a stage.
+Rows are sorted within ordered partitions, and the number of rows in the partitions before is added.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
 from itertools import accumulate
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -58,56 +53,28 @@ def _slot(place: Column) -> Column:
     return place.bitwiseAND(F.lit((1 << _SLOT_BITS) - 1))
 
 
-ROWS_PER_BUCKET = 2_000_000
-MOST_BUCKETS = 50_000
-MOST_UNEVEN = 8  # a bucket may hold this many times its fair share
-
-
-@dataclass(frozen=True)
-class Buckets:
-    """Even cuts of a whole-number column and the number of rows in each."""
-
-    order: str
-    lowest: int
-    width: int
-    counts: tuple[int, ...]
-
-    def bucket(self) -> Column:
-        return F.expr(f"cast((`{self.order}` - {self.lowest}L) div {self.width}L as int)")
+def matches(columns: Sequence[str], prefix: str = "_") -> Column:
+    """Null-safe equality of columns with their namesakes under a prefix."""
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
+    return same
 
 
-def even_buckets(staged: DataFrame, order: str) -> Buckets | None:
-    """Cut a staged table's order column; None if it cannot be cut evenly.
+def number_unseen(
+    rows: DataFrame, known: DataFrame | None, natural: Sequence[str], order: str, key: str, label: str
+) -> DataFrame:
+    """``rows`` with their keys: known natural keys keep theirs, others continue after the highest in ``order``.
 
-    Two passes over that one column: its extent, then the rows per bucket.
+    Natural keys are unique in ``rows`` and in ``known`` (key, natural columns). The result is staged.
     """
-    if staged.schema[order].dataType.simpleString() not in ("int", "bigint"):
-        return None
-    row = staged.agg(F.min(order), F.max(order), F.count(order), F.count(F.lit(1))).first()
-    lowest, highest, n, rows = row
-    if n == 0 or n < rows or highest - lowest >= 2**62:
-        return None
-    cores = int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(ceil(n / ROWS_PER_BUCKET), min(cores, ceil(n / 10_000)))
-    width = ceil((highest - lowest + 1) / min(wanted, MOST_BUCKETS))
-    cut = Buckets(order, lowest, width, ())
-    sizes = dict(
-        (r["b"], r["n"])
-        for r in staged.groupBy(cut.bucket().alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
-    )
-    counts = tuple(sizes.get(b, 0) for b in range((highest - lowest) // width + 1))
-    if max(counts) > MOST_UNEVEN * ceil(n / len(counts)):
-        return None
-    return Buckets(order, lowest, width, counts)
-
-
-def number_by_buckets(df: DataFrame, buckets: Buckets, key: str, start: int = 1) -> DataFrame:
-    """Add ``key`` to rows that correspond one to one to the table the buckets were cut from."""
-    ordered = df.repartitionById(len(buckets.counts), buckets.bucket()).sortWithinPartitions(buckets.order)
-    number = _looked_up(accumulate(buckets.counts, initial=start), buckets.bucket()) + _slot(
-        F.monotonically_increasing_id()
-    )
-    return ordered.select(number.alias(key), *df.columns)
+    if known is None:
+        return number_rows(rows, order, key, label=label)
+    right = known.select(key, *[F.col(c).alias(f"_{c}") for c in natural])
+    found = rows.join(right, matches(natural), "left").select(key, *rows.columns)
+    highest = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("m")).first()["m"]
+    fresh = number_rows(found.where(F.col(key).isNull()).drop(key), order, key, start=highest + 1, label=f"{label}_new")
+    return stage(found.where(F.col(key).isNotNull()).unionByName(fresh), label)
 
 
 def extend_keys(
@@ -118,12 +85,8 @@ def extend_keys(
     ``values`` holds one row per natural key with the position it was first seen at.
     """
     columns = list(natural)
-    right = known.select(key, *[F.col(c).alias(f"_{c}") for c in columns])
-    same = None
-    for c in columns:
-        part = F.col(c).eqNullSafe(F.col(f"_{c}"))
-        same = part if same is None else same & part
-    fresh = values.select(order, *columns).join(right, same, "left_anti")
+    right = known.select(*[F.col(c).alias(f"_{c}") for c in columns])
+    fresh = values.select(order, *columns).join(right, matches(columns), "left_anti")
     highest = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("m")).first()["m"]
     added = number_rows(fresh, order, key, start=highest + 1, label=f"new_{key}")
     return known.select(key, *columns).unionByName(added.select(key, *columns))

@@ -30,6 +30,14 @@ def require_columns(df: DataFrame, columns: list[str], what: str) -> DataFrame:
     return df
 
 
+def require_unique(df: DataFrame, column: str) -> None:
+    """Fail if a column that is to order rows has repeated or missing values."""
+    rows = df.count()
+    values_found = df.select(column).where(F.col(column).isNotNull()).distinct().count()
+    if rows != values_found:
+        raise QualityError(f"{column} does not order rows: {values_found} values in {rows} rows")
+
+
 class Audit:
     """Named figures of a run: rows per step, removals, load counts.
 
@@ -86,6 +94,11 @@ def match_rate(df: DataFrame, flag: str, join_key: str) -> DataFrame:
     )
 
 
+def repeated_ids(df: DataFrame, column: str) -> DataFrame:
+    """One row: rows whose id an earlier row has too, as they are kept on purpose."""
+    return df.agg((F.count(column) - F.count_distinct(column)).alias("repeated_ids_kept"))
+
+
 def removal_counts(
     distinct: DataFrame, copies: str, identity: list[str], column: str, value
 ) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from catalog_star import schemas as s
 from catalog_star.functions import values
-from catalog_star.operators.dedup import keep_first
-from catalog_star.operators.keys import even_buckets, number_by_buckets, number_rows
+from catalog_star.operators.dedup import keep_first, key_digest
+from catalog_star.operators.keys import number_unseen
+from catalog_star.operators.quality import require_unique
 from catalog_star.staging import stage
 
 
@@ -48,24 +49,24 @@ class StarLayout:
 
 @dataclass(frozen=True)
 class Star:
-    """The dimension and fact tables, and the natural keys behind the surrogate ones."""
+    """The dimension and fact tables (staged), and the natural keys behind the surrogate ones.
+
+    ``key_maps`` has a table per dimension and one for the fact; stored next to the tables, they
+    let a later load give every row it has seen the key it had.
+    """
 
     dimensions: dict[str, DataFrame]
-    key_maps: dict[str, DataFrame]
     fact_name: str
-    fact_key: str
-    references: tuple[str, ...]
     fact: DataFrame
-    flat: DataFrame
+    key_maps: dict[str, DataFrame] = field(default_factory=dict)
+    fact_key: str = ""
+    references: tuple[str, ...] = ()
+    flat: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         """Dimensions first, so that a load in this order never breaks a reference."""
         return {**self.dimensions, self.fact_name: self.fact}
 
-    def fact_rows(self) -> int:
-        """Number of fact rows, from the staged table they are derived from one to one."""
-        return self.flat.count()
-
 
 TRACK_STAR = StarLayout(
     dimensions=(
@@ -103,10 +104,10 @@ TRACK_STAR = StarLayout(
 )
 
 
-def build_dimension(rows: DataFrame, dimension: Dimension, order: str) -> DataFrame:
+def build_dimension(rows: DataFrame, dimension: Dimension, order: str, known: DataFrame | None = None) -> DataFrame:
     """Attributes of each natural key's first row, keyed by first appearance (staged).
 
-    The natural key is kept as ``_natural`` for the fact to look keys up by.
+    Natural keys in ``known`` keep their key. The natural key is kept as ``_natural`` for the fact to look keys up by.
     """
     attributes = [
         (values.null_if(F.col(source), 0) if name in dimension.zero_is_null else F.col(source)).alias(name)
@@ -114,7 +115,8 @@ def build_dimension(rows: DataFrame, dimension: Dimension, order: str) -> DataFr
     ]
     cut = rows.select(order, F.col(dimension.natural).alias("_natural"), *attributes)
     first = keep_first(cut, ["_natural"], order, collapse=dimension.repeats)
-    return number_rows(first, order, dimension.key, label=dimension.name).drop(order)
+    known = known.withColumnRenamed(dimension.natural, "_natural") if known is not None else None
+    return number_unseen(first, known, ["_natural"], order, dimension.key, dimension.name).drop(order)
 
 
 def look_up_keys(facts: DataFrame, keyed: DataFrame, key: str, natural: str) -> DataFrame:
@@ -127,35 +129,44 @@ def look_up_keys(facts: DataFrame, keyed: DataFrame, key: str, natural: str) ->
     return facts.join(lookup, F.col(natural).eqNullSafe(F.col(f"_{key}")), "left").drop(f"_{key}")
 
 
-def build_star(merged: DataFrame, order: str = s.ROW_ORDER, layout: StarLayout = TRACK_STAR) -> Star:
-    """Derive all tables from ``merged``; ``order`` must be unique.
+def with_row_identity(flat: DataFrame, columns: list[str], order: str) -> DataFrame:
+    """Add what tells a fact row from others whenever it is loaded: a digest of its content, and its number among equal rows.
 
-    The flat table is staged once. Every dimension reads its few columns from that
-    stage and is staged itself, as output and as the lookup for the fact. The fact is
-    numbered last, when its rows are keys and measures only: one shuffle puts it in order.
+    Equal rows are interchangeable, so they are told apart by count. Only digests and the order column are ranked.
     """
+    digested = flat.withColumn("_digest", key_digest(columns))
+    copies = Window.partitionBy("_digest").orderBy(order)
+    return digested.withColumn("_copy", F.row_number().over(copies).cast("long"))
+
+
+def build_star(
+    merged: DataFrame, order: str = s.ROW_ORDER, layout: StarLayout = TRACK_STAR, known: dict[str, DataFrame] | None = None
+) -> Star:
+    """Derive all tables from ``merged``; ``order`` must be unique, which is checked.
+
+    ``known`` holds the key maps of earlier loads: rows they name keep their keys. The flat table is staged once. Every
+    dimension reads its few columns from that stage and is staged itself, as output and as the lookup for the
+    fact. The fact is numbered when its rows are keys, measures and digests only, and staged: whoever reads it
+    afterwards scans a table.
+    """
+    known = known or {}
     sources = layout.sources()
     flat = stage(merged.select(order, *[c for c in merged.columns if c in sources and c != order]), layout.fact)
-    keyed = {d.name: build_dimension(flat, d, order) for d in layout.dimensions}
-    facts = flat.select(order, *dict.fromkeys([d.natural for d in layout.dimensions] + list(layout.measures)))
+    require_unique(flat, order)
+    keyed = {d.name: build_dimension(flat, d, order, known.get(d.name)) for d in layout.dimensions}
+    naturals = list(dict.fromkeys(d.natural for d in layout.dimensions))
+    facts = with_row_identity(flat.select(order, *dict.fromkeys(naturals + list(layout.measures))), [*naturals, *layout.measures], order)
     for d in layout.dimensions:
         facts = look_up_keys(facts, keyed[d.name], d.key, d.natural)
-    facts = facts.select(order, *layout.references, *layout.measures)
-    buckets = even_buckets(flat, order)
-    if buckets:
-        facts = number_by_buckets(facts, buckets, layout.fact_key)
-    else:
-        facts = number_rows(facts, order, layout.fact_key, label=f"{layout.fact}_numbered")
+    facts = facts.select(order, *layout.references, *layout.measures, "_digest", "_copy")
+    facts = number_unseen(facts, known.get(layout.fact), ["_digest", "_copy"], order, layout.fact_key, f"{layout.fact}_numbered")
+    maps = {d.name: keyed[d.name].select(d.key, F.col("_natural").alias(d.natural)) for d in layout.dimensions}
     return Star(
         dimensions={d.name: keyed[d.name].select(d.key, *d.attributes) for d in layout.dimensions},
-        key_maps={
-            d.name: keyed[d.name].select(d.key, F.col("_natural").alias(d.natural))
-            for d in layout.dimensions
-        },
         fact_name=layout.fact,
+        fact=facts.select(layout.fact_key, *layout.references, *layout.measures),
+        key_maps={**maps, layout.fact: facts.select(layout.fact_key, "_digest", "_copy")},
         fact_key=layout.fact_key,
         references=layout.references,
-        fact=facts.drop(order),
         flat=flat,
     )
-

@@ -15,8 +15,8 @@ from catalog_star.operators.keys import extend_keys, number_rows
 from catalog_star.plans import etl, kpis
 from catalog_star.registry import comparison as c
 from catalog_star.registry.roles import awards_raw, catalogue, table
-from catalog_star.sinks.files import write_csv
-from catalog_star.sinks.warehouse import FolderWarehouse, counts_frame, insert_ignore, load_star, unseen_rows
+from catalog_star.sinks.files import export_tables, write_csv
+from catalog_star.sinks.warehouse import FolderWarehouse, counts_frame, insert_ignore, load_star, stored_star, unseen_rows
 from catalog_star.sources.csv import null_tokens, read_csv, read_csv_text
 from catalog_star.staging import stage_path
 
@@ -352,6 +352,51 @@ def star_load_counts(spark, folder):
     return first.select(F.lit(1).alias("load"), "*").unionByName(second.select(F.lit(2).alias("load"), "*"))
 
 
+_GROWN = """, artists as (select primary_artist, row_number() over (order by min(row_ord) filter (popularity > 20) is null,
+            coalesce(min(row_ord) filter (popularity > 20), min(row_ord))) as artist_key from merged group by primary_artist),
+        genres as (select track_genre, row_number() over (order by min(row_ord) filter (popularity > 20) is null,
+            coalesce(min(row_ord) filter (popularity > 20), min(row_ord))) as genre_key from merged group by track_genre),
+        tracks as (select track_id, row_number() over (order by min(row_ord) filter (popularity > 20) is null,
+            coalesce(min(row_ord) filter (popularity > 20), min(row_ord))) as track_key from merged group by track_id),
+        seen as (select * from merged qualify row_number() over (partition by track_id order by popularity <= 20, row_ord) = 1)
+       select row_number() over (order by m.popularity <= 20, m.row_ord) as stream_key, t.track_key, a.artist_key, g.genre_key,
+            m.popularity, a.primary_artist, g.track_genre, seen.album_name
+       from merged m join artists a using (primary_artist) join genres g on m.track_genre is not distinct from g.track_genre
+            join tracks t on m.track_id = t.track_id join seen on m.track_id = seen.track_id"""
+
+
+@query(c.over("merged", _GROWN))
+def grown_load(spark, folder):
+    """The stored star after two loads: part of the catalogue, then all of it, whose new rows come before and between the old."""
+    house = FolderWarehouse(spark, stage_path(spark, "grown"))
+    tracks, awards = catalogue(spark, folder).tracks_raw(), awards_raw(spark, folder)
+    for rows in (tracks.where("popularity > 20"), tracks):
+        etl.run(rows, awards, house).drop_stages()
+    star = stored_star(house)
+    fact = star.fact.select("stream_key", "track_key", "artist_key", "genre_key", "popularity")
+    for name, attribute in (("dim_artist", "primary_artist"), ("dim_genre", "track_genre"), ("dim_track", "album_name")):
+        dimension = star.dimensions[name]
+        fact = fact.join(dimension.select(dimension.columns[0], attribute), dimension.columns[0])
+    return fact
+
+
+@query(
+    c.over(
+        "fact_streams",
+        """select stream_key, artist_key, primary_artist, grammy_wins, genre_key, track_genre, track_name, popularity, tempo
+           from fact_streams join dim_artist using (artist_key) join dim_genre using (genre_key) join dim_track using (track_key)""",
+    )
+)
+def star_export(spark, folder):
+    """Every star table written as CSV, read back by its types and joined again."""
+    star, path = catalogue(spark, folder).star(), stage_path(spark, "export")
+    export_tables(star.tables(), path)
+    back = {name: read_csv(spark, f"{path}/{name}", df.schema) for name, df in star.tables().items()}
+    fact = back["fact_streams"].select("stream_key", "artist_key", "genre_key", "track_key", "popularity", "tempo")
+    joined = fact.join(back["dim_artist"], "artist_key").join(back["dim_genre"], "genre_key").join(back["dim_track"], "track_key")
+    return joined.select("stream_key", "artist_key", "primary_artist", "grammy_wins", "genre_key", "track_genre", "track_name", "popularity", "tempo")
+
+
 @query(
     """select 'supplier' as reference, l_suppkey as key from lineitem
             where l_suppkey not in (select s_suppkey from supplier where s_acctbal > 0) group by l_suppkey
@@ -683,6 +728,8 @@ _TABLES = ["dim_artist", "dim_genre", "dim_track", "fact_streams"]
                     invalid_removed="count(*) filter (track_name is not null and time_signature = 0)",
                     rows_out="count(*) filter (track_name is not null and time_signature is distinct from 0)",
                 ),
+                _figures("tracks: repeats", "tracks_clean", repeated_ids_kept="count(track_id) - count(distinct track_id)"),
+                _figures("awards: summary", "award_summary", artists="count(*)"),
                 _figures(
                     "merge: matches",
                     "merged",

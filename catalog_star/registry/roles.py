@@ -16,7 +16,11 @@ from catalog_star.operators.keys import number_rows
 from catalog_star.operators.star import Star, build_star
 from catalog_star.staging import stage
 
-LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
+# All columns, so that only equal lines tie, and these may change places.
+LINE_ORDER = [
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag",
+    "l_linestatus", "l_shipdate",
+]
 
 TRACK_COLUMNS = {
     "track_id": "'P' || cast(l_partkey as string)",
@@ -51,7 +55,7 @@ AWARD_COLUMNS = {
     "published_at": "event_type",
     "updated_at": "event_type",
     "category": "' best  ' || event_type || ' of r&b'",
-    "nominee": "nullif(event_type, 'signup')",
+    "nominee": "replace(nullif(event_type, 'signup'), 'i', 'ï')",
     "artist": f"""case event_type when 'view' then upper({_AWARDED})
         when 'click' then {_AWARDED} || ' feat. Guest'
         when 'signup' then ' ' || {_AWARDED} || ' '
@@ -94,7 +98,7 @@ class Catalogue:
     def tracks_raw(self) -> DataFrame:
         def make():
             lines = number_rows(
-                table(self._spark, self._folder, "lineitem").drop("l_shipdate"), LINE_ORDER, s.ROW_ORDER, label="lines"
+                table(self._spark, self._folder, "lineitem"), LINE_ORDER, s.ROW_ORDER, label="lines"
             )
             orders = table(self._spark, self._folder, "orders")
             parts = table(self._spark, self._folder, "part")
@@ -122,12 +126,22 @@ class Catalogue:
         return self._once("star", lambda: build_star(self.merged()))
 
 
-_catalogues: dict[tuple[str, str], Catalogue] = {}
+_TABLES = ("lineitem", "orders", "part", "customer", "events")
+_catalogues: dict[tuple, Catalogue] = {}
+
+
+def _versions(spark: SparkSession, folder: str) -> tuple:
+    """Name, size and time of every file the catalogue is made from."""
+    files = None
+    for name in _TABLES:
+        own = table(spark, folder, name).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+        files = own if files is None else files.unionByName(own)
+    return tuple(sorted(map(tuple, files.collect())))
 
 
 def catalogue(spark: SparkSession, folder: str) -> Catalogue:
-    """The catalogue of a data folder within this Spark application."""
-    key = (spark.sparkContext.applicationId, folder.rstrip("/"))
+    """The catalogue of a data folder within this Spark application; made anew if a file has changed."""
+    key = (spark.conf.get("spark.app.id"), folder.rstrip("/"), _versions(spark, folder))
     if key not in _catalogues:
         _catalogues[key] = Catalogue(spark, folder)
     return _catalogues[key]

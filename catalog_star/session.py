@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int = 8, memory: str = "8g", app: str = "catalog-star") -> SparkSession:
+def local_session(cores: int = 8, memory: str = "8g", app: str = "catalog-star", checkpoint: str | None = None) -> SparkSession:
     """A local session. Time zone and adaptive execution are what results and plans rely on."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.driver.memory", memory)
@@ -16,7 +16,9 @@ def local_session(cores: int = 8, memory: str = "8g", app: str = "catalog-star")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    if checkpoint:
+        builder = builder.config("spark.checkpoint.dir", checkpoint)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

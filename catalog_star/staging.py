@@ -2,36 +2,69 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: tempfile.TemporaryDirectory | None = None
-_handed_out: list[str] = []
+
+class StageScope:
+    """The stages of one run, which can be dropped without touching those of others."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self.paths: list[str] = []
+
+    def drop(self) -> int:
+        """Delete the scope's stages; returns how many paths were there. Call it once nothing reads them any more."""
+        hadoop = self._spark._jvm.org.apache.hadoop.fs
+        conf = self._spark.sparkContext._jsc.hadoopConfiguration()
+        dropped = 0
+        while self.paths:
+            path = hadoop.Path(self.paths.pop())
+            dropped += bool(path.getFileSystem(conf).delete(path, True))
+        return dropped
+
+
+_PROGRAM = uuid.uuid4().hex
+_to_remove: set[str] = set()
+_scope: ContextVar[StageScope | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[StageScope]:
+    """Stages made inside belong to the scope, and to no scope around it. Leaving it drops nothing: results may still read them."""
+    scope = StageScope(spark)
+    token = _scope.set(scope)
+    try:
+        yield scope
+    finally:
+        _scope.reset(token)
 
 
 def stage_root(spark: SparkSession) -> str:
-    """Folder for stage tables: the session's checkpoint folder.
+    """Folder for stage tables: the one ``spark.checkpoint.dir`` names, else one below the warehouse folder.
 
-    Only a local master, where driver and executors share one machine, falls
-    back to a temporary folder that is removed when the program ends.
+    Both are shared by driver and executors. What a local program without the setting stages goes when it ends.
     """
-    global _local_folder
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
+    if root := spark.conf.get("spark.checkpoint.dir", None):
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that every executor reaches")
-    if _local_folder is None:
-        _local_folder = tempfile.TemporaryDirectory(prefix="catalog_star_", ignore_cleanup_errors=True)
-    return _local_folder.name
+    root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages/{_PROGRAM}"
+    if spark.conf.get("spark.master", "").startswith("local") and root not in _to_remove:
+        _to_remove.add(root)
+        atexit.register(shutil.rmtree, root.removeprefix("file:"), ignore_errors=True)
+    return root
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
     """A path under the stage root that no other run uses."""
     path = f"{stage_root(spark)}/catalog_star/{label}-{uuid.uuid4().hex}"
-    _handed_out.append(path)
+    if scope := _scope.get():
+        scope.paths.append(path)
     return path
 
 
@@ -45,17 +78,3 @@ def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     target = path or stage_path(spark, label)
     df.write.mode("overwrite").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
-
-
-def drop_stages(spark: SparkSession) -> int:
-    """Delete the stage tables this program has written; returns how many paths were dropped.
-
-    Call it once everything derived from them has been written elsewhere.
-    """
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    dropped = 0
-    while _handed_out:
-        path = hadoop.Path(_handed_out.pop())
-        dropped += bool(path.getFileSystem(conf).delete(path, True))
-    return dropped

@@ -46,37 +46,27 @@ def test_number_rows_by_several_columns(spark, partitions):
 def test_number_rows_of_nothing(spark):
     df = spark.createDataFrame([], "a int")
     assert keys.number_rows(df, "a", "key").count() == 0
-    assert keys.even_buckets(df, "a") is None
 
 
-def test_buckets_equal_row_numbers(spark, monkeypatch):
-    monkeypatch.setattr(keys, "ROWS_PER_BUCKET", 40)
-    orders = [x * 3 - 100 for x in range(1000) if x % 10 != 4]
-    df = spark.createDataFrame([(o,) for o in orders], "o long").repartition(5)
-    buckets = keys.even_buckets(df, "o")
-    assert len(buckets.counts) > 20 and sum(buckets.counts) == len(orders)
-    found = [tuple(r) for r in keys.number_by_buckets(df, buckets, "key").orderBy("o").collect()]
-    assert found == [(n, o) for n, o in enumerate(orders, 1)]
+def test_uneven_orders_are_numbered_alike(spark):
+    for orders in ([*range(1000), 10**12], [-(2**62), 0, 2**62], [x * 3 - 100 for x in range(1000) if x % 10 != 4]):
+        df = spark.createDataFrame([(o,) for o in orders], "o long").repartition(5)
+        found = [tuple(r) for r in keys.number_rows(df, "o", "key").orderBy("o").collect()]
+        assert found == [(n, o) for n, o in enumerate(orders, 1)]
 
 
-def test_uneven_or_unfit_orders_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(keys, "ROWS_PER_BUCKET", 10)
-    lopsided = spark.createDataFrame([(o,) for o in [*range(1000), 10**12]], "o long")
-    assert keys.even_buckets(lopsided, "o") is None
-    assert keys.even_buckets(spark.createDataFrame([("a",)], "o string"), "o") is None
-    assert keys.even_buckets(spark.createDataFrame([(1,), (None,)], "o long"), "o") is None
+def test_unseen_keys_continue_and_known_ones_stay(spark):
+    known = spark.createDataFrame([(1, "b"), (7, None)], "key long, v string")
+    seen = spark.createDataFrame([("b", 5, "x"), (None, 3, "y"), ("z", 9, "x"), ("a", 1, "x")], "v string, o long, w string")
+    found = keys.number_unseen(seen, known, ["v"], "o", "key", "unseen")
+    assert sorted(map(tuple, found.collect())) == [(1, "b", 5, "x"), (7, None, 3, "y"), (8, "a", 1, "x"), (9, "z", 9, "x")]
 
 
-def test_star_numbers_facts_the_same_without_buckets(spark, monkeypatch):
-    from catalog_star.operators import star as star_module
-    from catalog_star.operators.clean import clean_awards, clean_tracks
-    from catalog_star.plans import etl
-    from tests import fixture_data as fx
-
-    monkeypatch.setattr(star_module, "even_buckets", lambda *_: None)
-    star = etl.transform(clean_tracks(fx.tracks(spark)), clean_awards(fx.awards(spark))).star
-    kept = star.fact.select("stream_key", "track_key", "artist_key", "genre_key", "popularity")
-    assert [tuple(r) for r in kept.orderBy("stream_key").collect()] == fx.FACT
+def test_digests_tell_values_apart(spark):
+    values = [("a", "b"), ("ab", ""), ("", "ab"), (None, "ab"), ("ab", None), (None, None), ("-", None), ("1:a", "b")]
+    df = spark.createDataFrame(values * 2, "a string, b string")
+    assert df.select(dedup.key_digest(["a", "b"])).distinct().count() == len(values)
+    assert tuple(dedup.duplicate_counts(df, ["a", "b"]).first()) == (len(values), 2 * len(values))
 
 
 def test_extended_keys_continue(spark):

@@ -104,6 +104,41 @@ def test_catalog_warehouse_with_buckets(spark, done, tmp_path):
         spark.sql("drop database house cascade")
 
 
+def test_replaced_tables_can_be_appended_to(spark, tmp_path):
+    spark.sql(f"create database swap location '{tmp_path}/swap'")
+    try:
+        house = CatalogWarehouse(spark, "swap", buckets=4, bucketed=("t",))
+        rows = spark.range(10).withColumnRenamed("id", "k")
+        for name in ("t", "small"):
+            house.replace(rows, name, "k")
+            house.append(rows.selectExpr("k + 100 as k"), name, "k")
+            assert house.read(name).count() == 20
+    finally:
+        spark.sql("drop database swap cascade")
+
+
+def test_grown_catalogue_keeps_its_keys(spark, tmp_path):
+    """One artist and track in front, as a list that is sorted anew would have them."""
+    house = FolderWarehouse(spark, str(tmp_path))
+    etl.run(fx.tracks(spark), fx.awards(spark), house)
+    new = spark.createDataFrame([(-1, "t0", *fx.TRACKS[0][2:])], s.TRACKS_RAW).withColumn("artists", F.lit("Newcomer"))
+    grown = fx.tracks(spark).unionByName(new)
+    run = etl.run(grown, fx.awards(spark), house)
+    assert [(c.table, c.new) for c in run.loads] == [("dim_artist", 1), ("dim_genre", 0), ("dim_track", 1), ("fact_streams", 1)]
+    assert by_key(house.read("dim_artist"))[:3] == fx.DIM_ARTIST
+    assert [r[:2] for r in by_key(house.read("dim_artist"))][3:] == [(4, "Newcomer")]
+    fact = by_key(house.read("fact_streams").select("stream_key", "track_key", "artist_key", "genre_key", "popularity"))
+    assert fact[:5] == fx.FACT and fact[5][:4] == (6, 4, 4, 1)
+    again = etl.run(grown, fx.awards(spark), house)
+    assert [c.new for c in again.loads] == [0, 0, 0, 0]
+    assert again.drop_stages() > 5 and house.read("fact_streams").count() == 6
+
+
+def test_order_must_be_unique(spark, tmp_path):
+    with pytest.raises(QualityError, match="does not order rows"):
+        etl.run(fx.tracks(spark).withColumn("row_ord", F.lit(1).cast("long")), fx.awards(spark), FolderWarehouse(spark, str(tmp_path)))
+
+
 def test_orphan_stops_the_fact_load(spark, done, tmp_path):
     from dataclasses import replace
 
@@ -119,8 +154,12 @@ def test_contract_checks(spark, tmp_path):
     house = FolderWarehouse(spark, str(tmp_path))
     with pytest.raises(QualityError, match="empty"):
         etl.run(fx.tracks(spark).where("false"), fx.awards(spark), house)
+    with pytest.raises(QualityError, match="awards table is empty"):
+        etl.run(fx.tracks(spark), fx.awards(spark).where("false"), house)
     with pytest.raises(QualityError, match="track_id"):
         etl.run(fx.tracks(spark).drop("track_id"), fx.awards(spark), house)
+    with pytest.raises(QualityError, match="lacks updated_at"):
+        etl.run(fx.tracks(spark), fx.awards(spark).drop("updated_at"), house)
 
 
 def test_from_csv_file(spark, tmp_path):

@@ -47,6 +47,17 @@ def test_describe_is_exact_for_any_size(df, frame, monkeypatch, small):
         assert got == pytest.approx(wanted[c].tolist(), rel=1e-12, abs=1e-9), c
 
 
+def test_quantiles_are_the_same_bits_whatever_the_bounds(df, monkeypatch):
+    counts = {c: df.where(f"{c} is not null and not isnan({c})").count() for c in NUMBERS}
+    found = []
+    for small, grid in ((100_000, 501), (300, 11), (5, 7)):
+        monkeypatch.setattr(quantiles, "SMALL_RANGE", small)
+        monkeypatch.setattr(quantiles, "GRID", grid)
+        monkeypatch.setattr(quantiles, "ACCURACY", 5 * grid)
+        found.append(quantiles.exact_quantiles(df, counts, [0.01, 0.1, 1 / 3, 0.5, 0.77, 0.99]))
+    assert found[0] == found[1] == found[2]
+
+
 def test_quantiles_survive_a_bad_estimate(df, frame, monkeypatch):
     monkeypatch.setattr(quantiles, "SMALL_RANGE", 50)
     monkeypatch.setattr(quantiles, "GRID", 11)
