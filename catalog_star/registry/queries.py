@@ -654,6 +654,47 @@ def encoding_fallback(spark, folder):
     return read_csv(spark, path, _DOCUMENT)
 
 
+def _mixed_files(spark, folder) -> str:
+    """Documents over many files: some in Latin-1, some with line breaks in their texts, some with another order of columns."""
+    path, docs = stage_path(spark, "mixed"), table(spark, folder, "documents")
+    flat = docs.withColumn("text", F.replace("text", F.lit("\n"), F.lit(" ")))
+    for name, rows, encoding in (
+        ("a", flat.where("lang = 'fr'").repartition(3, "doc_id"), "ISO-8859-1"),
+        ("b", docs.where("lang = 'de'").repartition(2, "doc_id"), "UTF-8"),
+        ("c", flat.where("lang not in ('fr', 'de')").select("source", "n_chars", "lang", "text", "doc_id").repartition(4, "doc_id"), "UTF-8"),
+    ):
+        write_csv(rows, f"{path}/{name}", encoding=encoding)
+    return f"{path}/*"
+
+
+@query(
+    """select doc_id, case when lang = 'de' then text else replace(text, chr(10), ' ') end as text, lang, source, n_chars
+       from documents"""
+)
+def mixed_encodings(spark, folder):
+    """Encoding, line breaks and columns are found out file by file."""
+    return read_csv(spark, _mixed_files(spark, folder), _DOCUMENT)
+
+
+@query(
+    """select count(*) as rows, count(*) as places, cast(0 as bigint) as first_place, count(*) - 1 as last_place,
+        cast(0 as bigint) as out_of_order from documents"""
+)
+def many_files(spark, folder):
+    """Rows of many files have places that are unique, dense, and rise within each file as its rows do."""
+    path = stage_path(spark, "many")
+    docs = table(spark, folder, "documents").select("doc_id", "lang", F.crc32("text").alias("n_chars"))
+    write_csv(docs.repartitionByRange(7, "doc_id").sortWithinPartitions("doc_id"), path)
+    schema = StructType([StructField("place", LongType()), StructField("doc_id", LongType()), StructField("lang", StringType())])
+    rows = read_csv(spark, path, schema, order="place")
+    after = rows.select((F.col("place") - 1).alias("place"), F.col("doc_id").alias("next_id"))
+    falls = rows.join(after, "place").agg(F.count_if(F.col("next_id") < F.col("doc_id")).alias("out_of_order"))
+    totals = rows.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("place").alias("places"), F.min("place").alias("first_place"), F.max("place").alias("last_place")
+    )
+    return totals.join(falls, F.lit(True))
+
+
 @query(
     """select cast(o_orderkey as varchar) as o_orderkey, o_orderstatus,
         case when o_orderstatus <> 'F' then o_orderpriority end as o_orderpriority

@@ -12,7 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, IntegralType, StringType, StructField, StructType
 
-from catalog_star.operators.quality import QualityError
+from catalog_star.operators.keys import number_rows
+from catalog_star.operators.quality import Audit, QualityError
 from catalog_star.schemas import NA_TOKENS
 
 UTF8 = "UTF-8"
@@ -22,27 +23,39 @@ _EXTRA = "_extra"
 
 @dataclass(frozen=True)
 class CsvLayout:
+    """How a file must be read; files of one layout are read together."""
+
     encoding: str
     multiline: bool
+    header: str | None = None
 
 
-def probe_csv(spark: SparkSession, path: str) -> CsvLayout:
-    """Find out in one splittable pass how a file must be read.
+def probe_csv(spark: SparkSession, path: str) -> dict[CsvLayout, list[str]]:
+    """The files below a path by layout, found out in one splittable pass.
 
     Bytes that are not UTF-8 call for Latin-1. Records span lines only if some line
-    holds an odd number of quotes; without one the files can be read in splits.
+    holds an odd number of quotes; files without one can be read in splits. Header lines are told apart, as
+    columns may come in another order. A row per file reaches the driver.
     """
     line = F.col("value")
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    row = (
+    first = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    found = (
         spark.read.text(path)
+        .select(F.col("_metadata.file_path").alias("file"), first.alias("place"), line, quotes.alias("quotes"))
+        .groupBy("file")
         .agg(
             F.count_if(~F.is_valid_utf8(line)).alias("invalid"),
-            F.count_if(quotes % 2 == 1).alias("open_quotes"),
+            F.count_if(F.col("quotes") % 2 == 1).alias("open_quotes"),
+            F.min_by(F.hex(line.cast("binary")), "place").alias("header"),
         )
-        .first()
+        .collect()
     )
-    return CsvLayout(LATIN1 if row["invalid"] else UTF8, bool(row["open_quotes"]))
+    layouts: dict[CsvLayout, list[str]] = {}
+    for row in sorted(found, key=lambda r: r["file"]):
+        layout = CsvLayout(LATIN1 if row["invalid"] else UTF8, bool(row["open_quotes"]), row["header"])
+        layouts.setdefault(layout, []).append(row["file"])
+    return layouts
 
 
 def _reader(spark: SparkSession, layout: CsvLayout):
@@ -60,17 +73,53 @@ def null_tokens(c: Column, tokens: Sequence[str] = NA_TOKENS) -> Column:
 
 
 def typed(c: Column, field: StructField) -> Column:
-    """Cast a text cell; whole numbers may be written as ``4.0``."""
+    """Cast a text cell; whole numbers may be written as ``4.0``. What does not fit the type becomes null, never a part of itself."""
     if isinstance(field.dataType, StringType):
         return c
     if isinstance(field.dataType, IntegralType):
-        kind = field.dataType
-        return F.coalesce(c.try_cast(kind), c.try_cast("double").try_cast(kind))
+        kind, number = field.dataType, c.try_cast("double")
+        return F.when(c.contains("."), F.when(number == F.floor(number), number.try_cast(kind))).otherwise(
+            F.coalesce(c.try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
+        )
     if isinstance(field.dataType, BooleanType):
         return F.lower(c).try_cast("boolean")
     return c.try_cast(field.dataType)
 
 
+_PLACE = ["_file", "_block", "_row"]
+
+
+def _cells(
+    spark: SparkSession, path: str, encoding: str | None, multiline: bool | None, bad_lines: str, tokens: Sequence[str]
+) -> tuple[DataFrame, int]:
+    """All columns as text with each row's place (file, block, row in it), and the number of files."""
+    if bad_lines not in ("error", "skip"):
+        raise ValueError("bad_lines must be 'error' or 'skip'")
+    rows, files = None, 0
+    for found, names_of_files in probe_csv(spark, path).items():
+        files += len(names_of_files)
+        layout = CsvLayout(encoding or found.encoding, found.multiline if multiline is None else multiline)
+        names = _reader(spark, layout).csv(names_of_files[0]).columns
+        wide = StructType([StructField(c, StringType()) for c in [*names, _EXTRA]])
+        own = _reader(spark, layout).schema(wide).csv(names_of_files)
+        surplus = F.col(_EXTRA)
+        if bad_lines == "skip":
+            own = own.where(surplus.isNull())
+        else:
+            message = F.lit(f"line with more than {len(names)} fields in {path}")
+            own = own.where(F.when(surplus.isNull(), True).otherwise(F.raise_error(message).cast("boolean")))
+        own = own.select(
+            *[null_tokens(F.col(f"`{c}`"), tokens).alias(c) for c in names],
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
+        rows = own if rows is None else rows.unionByName(own, allowMissingColumns=True)
+    if rows is None:
+        raise QualityError(f"{path} holds no line")
+    return rows, files
+
+
 def read_csv_text(
     spark: SparkSession,
     path: str,
@@ -79,28 +128,23 @@ def read_csv_text(
     bad_lines: str = "error",
     tokens: Sequence[str] = NA_TOKENS,
 ) -> DataFrame:
-    """All columns of a CSV file with header, as text.
+    """All columns of the CSV files with header below a path, as text.
 
-    ``bad_lines`` is what happens to a line with more fields than the header:
+    Encoding, line breaks within records and the order of columns are found out per file; columns that only some
+    files have are null elsewhere. ``bad_lines`` is what happens to a line with more fields than its header:
     ``error`` fails the job, ``skip`` leaves it out. Short lines are filled with nulls.
     """
-    if bad_lines not in ("error", "skip"):
-        raise ValueError("bad_lines must be 'error' or 'skip'")
-    if encoding is None or multiline is None:
-        found = probe_csv(spark, path)
-        encoding = encoding or found.encoding
-        multiline = found.multiline if multiline is None else multiline
-    layout = CsvLayout(encoding, multiline)
-    names = _reader(spark, layout).csv(path).columns
-    wide = StructType([StructField(c, StringType()) for c in [*names, _EXTRA]])
-    rows = _reader(spark, layout).schema(wide).csv(path)
-    surplus = F.col(_EXTRA)
-    if bad_lines == "skip":
-        rows = rows.where(surplus.isNull())
-    else:
-        message = F.lit(f"line with more than {len(names)} fields in {path}")
-        rows = rows.where(F.when(surplus.isNull(), True).otherwise(F.raise_error(message).cast("boolean")))
-    return rows.select(*[null_tokens(F.col(f"`{c}`"), tokens).alias(c) for c in names])
+    return _cells(spark, path, encoding, multiline, bad_lines, tokens)[0].drop(*_PLACE)
+
+
+def cast_losses(cells: DataFrame, schema: StructType) -> DataFrame:
+    """One row: per column, how many cells had text that its type cannot hold."""
+    lost = [
+        F.count_if(F.col(f"`{f.name}`").isNotNull() & typed(F.col(f"`{f.name}`"), f).isNull()).alias(f.name)
+        for f in schema.fields
+        if f.name in cells.columns
+    ]
+    return cells.agg(*lost)
 
 
 def read_csv(
@@ -109,23 +153,29 @@ def read_csv(
     schema: StructType,
     order: str | None = None,
     index: str = "_c0",
-    **options,
+    audit: Audit | None = None,
+    encoding: str | None = None,
+    multiline: bool | None = None,
+    bad_lines: str = "error",
+    tokens: Sequence[str] = NA_TOKENS,
 ) -> DataFrame:
-    """A CSV file with the columns and types of ``schema``, found by name.
+    """CSV files with the columns and types of ``schema``, found by name.
 
-    ``order`` receives the file's own index column (an unnamed first column is
-    called ``_c0``). Without one, rows are numbered by file split, which orders rows
-    within one reading only.
+    ``order`` receives a file's own index column (an unnamed first column is called ``_c0``). Where there is none, or
+    several files each have their own, rows are numbered from 0 by file, block and row, however Spark packs
+    files into tasks. ``audit`` receives the number of cells per column that were lost to a cast; that costs a pass.
     """
-    cells = read_csv_text(spark, path, **options)
+    cells, files = _cells(spark, path, encoding, multiline, bad_lines, tokens)
     absent = [f.name for f in schema.fields if f.name not in cells.columns and f.name != order]
     if absent:
         raise QualityError(f"{path} lacks {', '.join(absent)}")
-    columns = []
-    for field in schema.fields:
-        if field.name == order:
-            position = F.col(index).try_cast("long") if index in cells.columns else F.monotonically_increasing_id()
-            columns.append(position.alias(order))
-        else:
-            columns.append(typed(F.col(field.name), field).alias(field.name))
-    return cells.select(*columns)
+    if audit:
+        audit.add_row("csv: cells lost to casts", cast_losses(cells, schema))
+    columns = {f.name: typed(F.col(f"`{f.name}`"), f).alias(f.name) for f in schema.fields if f.name != order}
+    if not order or order not in schema.names:
+        return cells.select(*columns.values())
+    if index in cells.columns and files == 1:
+        columns[order] = F.col(index).try_cast("long").alias(order)
+        return cells.select(*[columns[name] for name in schema.names])
+    numbered = number_rows(cells.select(*_PLACE, *columns.values()), _PLACE, order, start=0, label="csv")
+    return numbered.select(*schema.names)

@@ -7,8 +7,8 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, Str
 
 from catalog_star.schemas import NA_TOKENS
 from catalog_star.sinks.files import export_tables, write_csv, write_table
-from catalog_star.sinks.warehouse import FolderWarehouse, LoadCount, insert_ignore
-from catalog_star.sources.csv import CsvLayout, probe_csv, read_csv, read_csv_text
+from catalog_star.sinks.warehouse import FolderWarehouse, JdbcWarehouse, LoadCount, insert_ignore
+from catalog_star.sources.csv import probe_csv, read_csv, read_csv_text
 from catalog_star.sources.jdbc import JdbcConnection, Split, query_options, table_options
 
 SCHEMA = StructType([StructField("a", LongType()), StructField("b", StringType()), StructField("c", DoubleType())])
@@ -24,10 +24,14 @@ def cells(df):
     return [tuple(r) for r in df.collect()]
 
 
+def layouts(spark, path):
+    return [(x.encoding, x.multiline) for x in probe_csv(spark, path)]
+
+
 def test_quotes_line_breaks_and_blank_lines(spark, tmp_path):
     content = 'a,b,c\n1,"x ""q"" y",1.5\n\n2,"line\nbreak, and comma",2\n3, padded ,\n'
     path = written(tmp_path, content)
-    assert probe_csv(spark, path) == CsvLayout("UTF-8", True)
+    assert layouts(spark, path) == [("UTF-8", True)]
     wanted = pd.read_csv(io.StringIO(content))
     found = cells(read_csv(spark, path, SCHEMA))
     assert found == [(1, 'x "q" y', 1.5), (2, "line\nbreak, and comma", 2.0), (3, " padded ", None)]
@@ -35,12 +39,12 @@ def test_quotes_line_breaks_and_blank_lines(spark, tmp_path):
 
 
 def test_splittable_when_no_record_spans_lines(spark, tmp_path):
-    assert probe_csv(spark, written(tmp_path, 'a,b\n1,"x ""q"" y"\n')) == CsvLayout("UTF-8", False)
+    assert layouts(spark, written(tmp_path, 'a,b\n1,"x ""q"" y"\n')) == [("UTF-8", False)]
 
 
 def test_latin1_fallback(spark, tmp_path):
     path = written(tmp_path, "a,b,c\n1,Beyoncé,2\n", "latin-1")
-    assert probe_csv(spark, path).encoding == "ISO-8859-1"
+    assert layouts(spark, path) == [("ISO-8859-1", False)]
     assert cells(read_csv(spark, path, SCHEMA)) == [(1, "Beyoncé", 2.0)]
 
 
@@ -72,6 +76,35 @@ def test_types_index_and_missing_columns(spark, tmp_path):
         read_csv(spark, path, StructType([StructField("zz", LongType())]))
 
 
+def test_files_of_one_folder_are_read_each_by_itself(spark, tmp_path):
+    for name, content, encoding in (
+        ("1.csv", "a,b,c\n1,Beyoncé,1\n2,x,2\n", "utf-8"),
+        ("2.csv", "a,b,c\n3,Zoë,3\n", "latin-1"),
+        ("3.csv", 'c,b,a\n4,"two\nlines",4\n', "utf-8"),
+        ("4.csv", "c,a\n5,5\n", "utf-8"),
+    ):
+        (tmp_path / name).write_text(content, encoding=encoding)
+    schema = StructType([StructField("o", LongType()), *SCHEMA.fields])
+    found = sorted(cells(read_csv(spark, str(tmp_path), schema, order="o")))
+    assert found == [(0, 1, "Beyoncé", 1.0), (1, 2, "x", 2.0), (2, 3, "Zoë", 3.0), (3, 4, "two\nlines", 4.0), (4, 5, None, 5.0)]
+    assert len(probe_csv(spark, str(tmp_path))) == 4
+
+
+def test_files_with_an_index_each_get_one_order(spark, tmp_path):
+    for name in ("1.csv", "2.csv"):
+        (tmp_path / name).write_text(",a,b,c\n0,1,x,1\n1,2,y,1\n")
+    schema = StructType([StructField("o", LongType()), *SCHEMA.fields])
+    assert [r[:2] for r in sorted(cells(read_csv(spark, str(tmp_path), schema, order="o")))] == [(0, 1), (1, 2), (2, 1), (3, 2)]
+
+
+def test_cells_lost_to_casts_are_counted(spark, tmp_path):
+    from catalog_star.operators.quality import Audit
+
+    path, audit = written(tmp_path, "a,b,c\nabc,x,1\n4.7,y,z\n4.0,NA,\n"), Audit(spark)
+    assert cells(read_csv(spark, path, SCHEMA, audit=audit)) == [(None, "x", 1.0), (None, "y", None), (4, None, None)]
+    assert audit.figures()["csv: cells lost to casts"] == {"a": 2, "b": 0, "c": 1}
+
+
 def test_csv_written_like_a_data_frame_library(spark, tmp_path):
     data = [(1, " pad ", True, 1.5), (2, None, False, None), (3, 'q"q', None, 2.0), (4, "a,b\nc", True, 0.1)]
     df = spark.createDataFrame(data, "i long, s string, f boolean, d double").coalesce(1)
@@ -99,6 +132,9 @@ def test_jdbc_options(monkeypatch):
         "fetchsize": "10000", "partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "8",
     }
     assert query_options(place, "SELECT * FROM t;")["query"] == "SELECT * FROM t"
+    house = JdbcWarehouse(None, place, {"t": Split("id", 1, 100, 8)}, connections=4)
+    assert house.read_options("t")["numPartitions"] == "8" and "numPartitions" not in house.read_options("small")
+    assert house.write_options("t")["numPartitions"] == "4" and house.write_options("t")["batchsize"] == "10000"
     monkeypatch.delenv("CATALOG_DB_PASSWORD")
     assert "password" not in place.options()
 
