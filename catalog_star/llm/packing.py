@@ -10,6 +10,8 @@ as soon as it needs no more bins than its tokens do.
 
 from __future__ import annotations
 
+import string
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -24,37 +26,109 @@ from catalog_star.llm.wordcache import WordCache, number_words
 from catalog_star.staging import stage
 
 
+class _Runs:
+    """Runs of ids by number, in two arrays that grow."""
+
+    def __init__(self):
+        self._ids, self._ends, self._count = np.zeros(1 << 16, np.uint32), np.zeros(1 << 12, np.int64), 0
+
+    def __len__(self) -> int:
+        return self._count
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        used = int(self._ends[self._count])
+        self._ids = self._room(self._ids, used + len(ids))
+        self._ids[used : used + len(ids)] = ids
+        self._ends = self._room(self._ends, self._count + len(lengths) + 1)
+        self._ends[self._count + 1 : self._count + 1 + len(lengths)] = used + np.cumsum(lengths)
+        self._count += len(lengths)
+
+    @staticmethod
+    def _room(array: np.ndarray, size: int) -> np.ndarray:
+        return array if size <= len(array) else np.concatenate([array, np.zeros(max(size - len(array), len(array) // 2), array.dtype)])
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some runs one after the other, and the runs' lengths."""
+        begin = self._ends[numbers]
+        length = self._ends[numbers + 1] - begin
+        total = np.append(0, np.cumsum(length))
+        return self._ids[np.repeat(begin - total[:-1], length) + np.arange(total[-1])], length
+
+
 class WordTokenizer:
     """Token ids of words under a tokenizer that never joins tokens across white space; each word is encoded once.
 
-    ``most_words`` bounds what is kept between texts and has no influence on results.
+    A word of letters with punctuation behind it is made of two parts that the tokenizer splits anyway, and small letters give the
+    same ids; so "The," needs nothing new once "the" and "," are known. New parts are encoded together, as one text: each is one
+    pre-token, whose last token alone bears the mark of a word's end. Other words are encoded by themselves. ``most_words`` bounds what
+    is kept between texts and has no influence on results.
     """
 
     def __init__(self, path: str, most_words: int):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        vocabulary = self._tokenizer.get_vocab()
+        suffix = self._tokenizer.model.end_of_word_suffix
+        self._closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self._closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self._most_parts = most_words // 4
         self._cache = WordCache(most_words)
         self._clear()
 
     def _clear(self) -> None:
         self._cache.clear()
-        self._ids, self._ends = np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64)
-        self._new_ends: list[np.ndarray] = []
+        self._words = _Runs()
+        self._clear_parts()
+
+    def _clear_parts(self) -> None:
+        self._number_of: dict[str, int] = {"": 0}
+        self._parts = _Runs()
+        self._parts.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
+
+    def _learn(self, parts: list[str], odd: list[str]) -> None:
+        """Encode new parts as one text, and other words one by one."""
+        for i in range(0, len(parts), 20_000):
+            some = parts[i : i + 20_000]
+            ids = np.array(self._tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
+            ends = np.flatnonzero(self._closes[ids]) + 1
+            if len(ends) == len(some):
+                self._number_of.update(zip(some, range(len(self._parts), len(self._parts) + len(some))))
+                self._parts.add(ids, np.diff(ends, prepend=0))
+            else:  # a tokenizer without marks
+                odd = odd + some
+        for word, found in zip(odd, self._tokenizer.encode_batch(odd, add_special_tokens=False)):
+            self._number_of[word] = len(self._parts)
+            self._parts.add(np.array(found.ids, np.uint32), np.array([len(found.ids)]))
 
     def _encode(self, words: list[bytes]) -> np.ndarray:
-        found = []
-        for i in range(0, len(words), 20_000):
-            texts = [w.decode("utf-8", "replace") for w in words[i : i + 20_000]]
-            found += [e.ids for e in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
-        length = np.fromiter(map(len, found), np.int64, len(found))
-        used, more = int(self._ends[-1]), int(length.sum())
-        if used + more > len(self._ids):
-            self._ids = np.concatenate([self._ids, np.zeros(max(more, len(self._ids)), np.uint32)])
-        self._ids[used : used + more] = np.fromiter((x for ids in found for x in ids), np.uint32, more)
-        number = np.arange(len(self._ends) - 1, len(self._ends) - 1 + len(found))
-        self._ends = np.concatenate([self._ends, used + np.cumsum(length)])
-        return number
+        heads, tails, odd, punctuation = [], [], [], string.punctuation
+        for data in words:
+            word = data.decode("utf-8", "replace")
+            letters = word.rstrip(punctuation)
+            if letters.isalpha():
+                small = letters.lower()
+                # beyond ASCII, not every letter has a small form that reads alike wherever it stands
+                if letters.isascii() or "\u03a3" not in letters and small.isalpha() and unicodedata.is_normalized("NFC", letters):
+                    heads.append(small)
+                    tails.append(word[len(letters) :])
+                    continue
+            heads.append(word)
+            tails.append("")
+            odd.append(word)
+        if len(self._number_of) > self._most_parts:
+            self._clear_parts()
+        known = self._number_of.keys()
+        odd = set(odd) - known
+        self._learn(sorted((set(heads) | set(tails)) - odd - known), sorted(odd))
+        number = np.empty((len(words), 2), np.int64)
+        number[:, 0] = [self._number_of[x] for x in heads]
+        number[:, 1] = [self._number_of[x] for x in tails]
+        ids, length = self._parts.take(number.ravel())
+        first = len(self._words)
+        self._words.add(ids, length.reshape(-1, 2).sum(1))
+        return np.arange(first, first + len(words))
 
     def ids(self, texts: Texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by ``end_id``, and where each begins (one more at the end)."""
@@ -62,11 +136,8 @@ class WordTokenizer:
             self._clear()
         number = number_words(texts, self._cache, self._encode)
         _, _, first = texts.words()
-        begin, length = self._ends[number], self._ends[number + 1] - self._ends[number]
-        total = np.append(0, np.cumsum(length))
-        flat = np.repeat(begin - total[:-1], length) + np.arange(total[-1])
-        tokens = self._ids[flat]
-        ends = total[first[1:]]
+        tokens, length = self._words.take(number)
+        ends = np.append(0, np.cumsum(length))[first[1:]]
         return np.insert(tokens, ends, np.uint32(end_id)), np.append(0, ends + np.arange(1, len(texts) + 1))
 
 
@@ -74,7 +145,7 @@ _tokenizers: dict[tuple, WordTokenizer] = {}
 
 
 def tokenized_pieces(
-    docs: DataFrame, tokenizer: str, id: str, text: str, capacity: int, end_id: int, most_words: int = 1_500_000, with_ids: bool = False
+    docs: DataFrame, tokenizer: str, id: str, text: str, capacity: int, end_id: int, most_words: int = 2_000_000, with_ids: bool = False
 ) -> DataFrame:
     """A row per piece: id, piece, start, length, ids_crc32 (and ids, if asked for). Only documents above ``capacity`` are cut."""
     rows = docs.select(F.col(f"`{id}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("__text"))
