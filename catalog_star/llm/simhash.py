@@ -43,15 +43,17 @@ def fingerprints_of(texts: Texts, shingle: int = 3, seed: int = 42) -> np.ndarra
     hashes = np.array([digest(joined[a:b], seed) for a, b in zip(start[head].tolist(), end[tail].tolist())], np.uint64)
     found = np.zeros(len(texts), np.uint64)
     full = np.flatnonzero(n_shingles)
-    step = 1 << 18  # shingles whose bits are unpacked at once
+    step = 1 << 14  # shingles whose bits are unpacked at once
     for group in np.split(full, np.flatnonzero(np.diff(at[full] // step)) + 1) if len(full) else []:
         low, high = at[group[0]], at[group[-1] + 1]
         counts = np.zeros((len(group), 64), np.int64)
         for piece in range(low, high, step):  # a very long text spans several
-            bits = np.unpackbits(hashes[piece : min(high, piece + step)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            inside = np.clip(at[group] - piece, 0, len(bits))
-            sums = np.append(np.zeros((1, 64), np.int64), np.cumsum(bits, 0, dtype=np.int64), 0)
-            counts += sums[np.clip(at[group + 1] - piece, 0, len(bits))] - sums[inside]
+            some = hashes[piece : min(high, piece + step)]
+            bits = np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            begin = np.clip(at[group] - piece, 0, len(some))
+            end = np.clip(at[group + 1] - piece, 0, len(some))
+            here = np.flatnonzero(begin < end)
+            counts[here] += np.add.reduceat(bits, begin[here], axis=0, dtype=np.int64)
         set_bits = (2 * counts > n_shingles[group][:, None]).astype(np.uint8)
         found[group] = np.packbits(set_bits, axis=1, bitorder="little").view(np.uint64).ravel()
     return found

@@ -19,7 +19,7 @@ WHITE_SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text handled at once; a longer text is handled by itself.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[list(WHITE_SPACE)] = False
@@ -152,20 +152,22 @@ def map_texts(
     """
     if clash := set(keep) & set(fields):
         raise ValueError(f"columns {sorted(clash)} would appear twice")
-    rows = docs.select(*[F.col(f"`{old}`").alias(new) for new, old in keep.items()], F.col(f"`{text}`").cast("string").alias("__text"))
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields[:-1]}
+    kept_columns = [F.col(f"`{old}`").alias(new) for new, old in keep.items()]
+    where = list(keep.values()).index(text) if text in keep.values() else len(keep)  # a text that is kept crosses once
+    rows = docs.select(*kept_columns, *([] if where < len(keep) else [F.col(f"`{text}`").cast("string").alias("__text")]))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields[: len(keep)]}
     schema = ", ".join(f"`{name}` {kind}" for name, kind in {**kinds, **fields}.items())
     names = list(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row = 0
-            for texts in text_chunks(batch.column(batch.num_columns - 1)):
+            for texts in text_chunks(batch.column(where)):
                 made = compute(texts)
                 kept = batch.slice(row, len(texts))
                 row += len(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [*kept.columns[:-1], *[made[x] if isinstance(made[x], pa.Array) else pa.array(made[x]) for x in names]],
+                    [*kept.columns[: len(keep)], *[made[x] if isinstance(made[x], pa.Array) else pa.array(made[x]) for x in names]],
                     names=[*keep, *names],
                 )
 
