@@ -195,7 +195,7 @@ def repeated_passages(
     gap_cost: float = 0.1,
     join_gap: int = 4,
     block: int = 128,
-    margin: int = 40,
+    margin: int = 64,
 ) -> DataFrame:
     """Passages of at least ``least_words`` words of a document that an earlier one holds too, a row per aligned piece.
 

@@ -25,7 +25,7 @@ def test_registered():
 
 def test_stages_keep_the_columns_and_take_effect(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    extra = [(10_000 + i, prose(70, 300, 400) + f" x{i}", "en", "src0", 5) for i in range(5)] + [(20_000, "12345 678 !!", "en", "src1", 5), (20_001, None, None, None, None)]
+    extra = [(10_000 + i, prose(70, 300, 400).upper() if i % 2 else prose(70, 300, 400) + " " * i, "en", "src0", 5) for i in range(5)] + [(20_000, "12345 678 !!", "en", "src1", 5), (20_001, None, None, None, None)]
     docs = stage(docs.unionByName(spark.createDataFrame(extra, docs.schema)), "test-docs")
     for name, function in corpus_pipeline.STAGES:
         before = docs.count()
