@@ -73,6 +73,7 @@ class ListSearch:
     def links(self, vectors: np.ndarray, order: np.ndarray, low: int, high: int, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of rows at the threshold whose first shared list is (low, high); between sides 1 and 2 if there are two."""
         left, right = [], []
+        least = min(self.least_shared, order.shape[1])  # where there is one pivot, all share it in the list (0, 0)
         step = max(1, (1 << 22) // max(1, len(vectors)))
         for i in range(0, len(vectors), step):
             x, y = np.nonzero(vectors[i : i + step] @ vectors.T >= self.threshold)
@@ -82,7 +83,7 @@ class ListSearch:
             for j in range(0, len(x), 1 << 16):
                 a, b = x[j : j + (1 << 16)], y[j : j + (1 << 16)]
                 count, first, second = shared_first_pair(order[a], order[b])
-                own = (count >= self.least_shared) & (first == low) & (second == high)
+                own = (count >= least) & (first == low) & (np.where(count > 1, second, first) == high)
                 left.append(a[own]), right.append(b[own])
         return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
