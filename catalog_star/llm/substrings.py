@@ -3,12 +3,13 @@
 Seeds are the minimizers of word k-mers: the least hash of every window of neighbouring k-mers, so two texts that share
 ``window + k - 1`` words in a row share a seed. Every occurrence of a seed is matched to the document that has it and whose
 key is least; that makes as many matches as occurrences, however common a passage is, and leaves one holder of
-each. A match by itself counts if another, whoever its holder, is near. The matches of two documents are chained in order of both by a Fenwick tree over gap-adjusted scores. Chains are aligned word by word between their
+each. A match by itself counts if another, whoever its holder, is near. The matches of two documents are chained in order of both by a tree of maxima over gap-adjusted scores. Chains are aligned word by word between their
 seeds and beyond their ends; only the blocks of text that a chain touches are brought together for that.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,8 +64,9 @@ def seeds_of(texts: Texts, k: int, window: int) -> tuple[np.ndarray, np.ndarray,
 def chain(x: np.ndarray, y: np.ndarray, k: int, gap_cost: float, most_gap: int) -> list[np.ndarray]:
     """Chains of matches (x, y) that rise in both; indexes of each, in order. Matches come sorted by x, y.
 
-    A match adds ``k``; a step costs ``gap_cost`` for every word of either text between. A Fenwick tree over the ranks of y holds
-    the greatest score plus the cost of getting there, so a step's cost is a difference. Chains end where a gap exceeds ``most_gap``.
+    A match adds ``k``; a step costs ``gap_cost`` for every word of either text between. A tree of maxima over the ranks of y holds
+    the greatest score plus the cost of getting there, so a step's cost is a difference. Only matches of the last ``most_gap`` words of x
+    are in the tree, and ranks within ``most_gap`` of y are asked, so a far match never hides a near one.
     """
     n = len(x)
     if n == 1:
@@ -73,32 +75,52 @@ def chain(x: np.ndarray, y: np.ndarray, k: int, gap_cost: float, most_gap: int)
         order = np.arange(n)
         cut = np.flatnonzero((np.diff(x) > most_gap) | (np.diff(y) > most_gap)) + 1
         return np.split(order, cut)
-    ranks = np.unique(y, return_inverse=True)[1] + 1
-    size = int(ranks.max()) + 1
-    tree_score, tree_item = [-1.0] * size, [-1] * size
+    different, ranks = np.unique(y, return_inverse=True)
+    lowest = np.searchsorted(different, y - most_gap).tolist()
+    size = len(different)
+    top = [(-1.0, -1)] * (2 * size)  # value and item; the leaf of rank r is at size + r
+    live = [deque() for _ in range(size)]  # matches of a rank within reach, values falling
     score, back = [0.0] * n, [-1] * n
     xs, ys, rs = x.tolist(), y.tolist(), ranks.tolist()
-    i = 0
+
+    def renew(r: int) -> None:
+        node = size + r
+        top[node] = live[r][0] if live[r] else (-1.0, -1)
+        while node > 1:
+            node >>= 1
+            top[node] = max(top[2 * node], top[2 * node + 1])
+
+    i = left = 0
     while i < n:
+        while xs[left] < xs[i] - most_gap:  # out of reach from here on
+            own = live[rs[left]]
+            if own and own[0][1] == left:
+                own.popleft()
+                renew(rs[left])
+            left += 1
         same = i
         while same < n and xs[same] == xs[i]:  # equal x: none may follow another
-            best, item, r = 0.0, -1, rs[same] - 1
-            reach = gap_cost * (xs[same] + ys[same])
-            while r > 0:
-                if tree_score[r] > best or item < 0 and tree_item[r] >= 0 and tree_score[r] - reach > 0:
-                    best, item = tree_score[r], tree_item[r]
-                r -= r & -r
-            if item >= 0 and best - reach > 0 and xs[same] - xs[item] <= most_gap and ys[same] - ys[item] <= most_gap:
-                score[same], back[same] = best - reach + k, item
+            best, low, high = (-1.0, -1), size + lowest[same], size + rs[same]
+            while low < high:
+                if low & 1:
+                    best = max(best, top[low])
+                    low += 1
+                if high & 1:
+                    high -= 1
+                    best = max(best, top[high])
+                low, high = low >> 1, high >> 1
+            gain = best[0] - gap_cost * (xs[same] + ys[same])
+            if best[1] >= 0 and gain > 0:
+                score[same], back[same] = gain + k, best[1]
             else:
                 score[same] = float(k)
             same += 1
         for j in range(i, same):
-            value, r = score[j] + gap_cost * (xs[j] + ys[j]), rs[j]
-            while r < size:
-                if value > tree_score[r]:
-                    tree_score[r], tree_item[r] = value, j
-                r += r & -r
+            value, own = score[j] + gap_cost * (xs[j] + ys[j]), live[rs[j]]
+            while own and own[-1][0] <= value:
+                own.pop()
+            own.append((value, j))
+            renew(rs[j])
         i = same
     used = [False] * n
     chains = []
