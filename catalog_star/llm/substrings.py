@@ -5,6 +5,9 @@ Seeds are the minimizers of word k-mers: the least hash of every window of neigh
 key is least; that makes as many matches as occurrences, however common a passage is, and leaves one holder of
 each. A match by itself counts if another, whoever its holder, is near. The matches of two documents are chained in order of both by a tree of maxima over gap-adjusted scores. Chains are aligned word by word between their
 seeds and beyond their ends; only the blocks of text that a chain touches are brought together for that.
+
+A seed's holder need not be the document that shares the passage around it. Exact passages are therefore found by themselves: every
+run of ``least_words`` words that another document has is matched to the first document that has the whole of it.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog_star.llm.texts import WORD_PATTERN, Texts, map_texts, text_chunks, windows
+from catalog_star.llm.texts import WORD_PATTERN, Texts, map_texts, mixed, text_chunks, windows
 from catalog_star.staging import stage
 
 
@@ -205,6 +208,83 @@ def align(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, k: int, si
     return [p for p in pieces if p[4] >= similarity * max(p[1] - p[0], p[3] - p[2])]
 
 
+def exact_runs(rows: DataFrame, least_words: int) -> DataFrame:
+    """Pieces of ``least_words`` equal words or more of a text that one of smaller key has too, over (key, text).
+
+    A run of ``least_words`` words contains the least hash of its half-length windows, which is the same in every document; so
+    runs are hashed whole only about half-length windows that several documents have, and text that does not repeat makes few rows.
+    """
+    half = -(-least_words // 2)
+    rest = least_words - half
+    rows = rows.select("key", "text")
+
+    def hashed(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        _, _, first = texts.words()
+        hashes, place = windows(texts.word_hashes(), first, half)
+        return hashes, place, first
+
+    def find_halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, keys = 0, batch.column(0).to_numpy()
+            for texts in text_chunks(batch.column(1)):
+                hashes, place, first = hashed(texts)
+                picked = minimizers(hashes, np.searchsorted(place, first), rest + 1)
+                owner = np.searchsorted(first, place[picked], "right") - 1
+                word = (place[picked] - first[owner]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[picked].view(np.int64)), pa.array(keys[row : row + len(texts)][owner]), pa.array(word)], names=["seed", "key", "word"])
+                row += len(texts)
+
+    def first_holders(seeds: DataFrame) -> DataFrame:
+        least = F.min(F.struct("key", "word")).alias("least")
+        found = seeds.groupBy("seed").agg(least, F.max("key").alias("last")).where("least.key <> last")
+        return found.select("seed", F.col("least.key").alias("holder"), F.col("least.word").alias("other_word"))
+
+    halves = rows.mapInArrow(find_halves, "seed long, key long, word int")
+    marks = halves.join(stage(first_holders(halves), "shared_halves").select("seed"), "seed").groupBy("key").agg(F.sort_array(F.collect_set("word")).alias("marks"))
+    marked = rows.join(stage(marks, "marks"), "key").select("key", "text", "marks")
+
+    def find_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, keys = 0, batch.column(0).to_numpy()
+            for texts in text_chunks(batch.column(1)):
+                hashes, place, first = hashed(texts)
+                at = np.full(len(hashes) and int(place[-1]) + 1, -1)
+                at[place] = np.arange(len(place))
+                some = batch.column(2).slice(row, len(texts))
+                marks = some.flatten().to_numpy() + np.repeat(first[:-1], np.diff(some.offsets.to_numpy()))
+                # runs of which a mark is one of the half-length windows
+                wanted = np.zeros(len(at) + 1, np.int64)
+                np.add.at(wanted, np.maximum(marks - rest, 0), 1)
+                np.add.at(wanted, marks + 1, -1)
+                begin = np.flatnonzero(np.cumsum(wanted[:-1]) > 0)
+                begin = begin[begin + rest < len(at)]
+                owner = np.searchsorted(first, begin, "right") - 1
+                ok = (begin + least_words <= first[owner + 1]) & (at[begin] >= 0)
+                begin, owner = begin[ok], owner[ok]
+                with np.errstate(over="ignore"):
+                    whole = mixed(hashes[at[begin]] * np.uint64(0x9E3779B97F4A7C15) + hashes[at[begin + rest]])
+                yield pa.RecordBatch.from_arrays([pa.array(whole.view(np.int64)), pa.array(keys[row : row + len(texts)][owner]), pa.array((begin - first[owner]).astype(np.int32))], names=["seed", "key", "word"])
+                row += len(texts)
+
+    whole = stage(marked.mapInArrow(find_whole, "seed long, key long, word int"), "whole_runs")
+    met = whole.join(stage(first_holders(whole), "run_holders"), "seed").where("key <> holder").select("key", "holder", "word", "other_word").distinct()
+    parts = max(1, 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, ["key"]):
+            key, holder, word, other = (c.to_numpy() for c in table.columns)
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (holder[1:] != holder[:-1]) | (np.diff(word) != 1) | (np.diff(other) != 1)
+            a = np.flatnonzero(new)
+            b = np.append(a[1:], len(key)) - 1
+            columns = [key[a], holder[a], word[a].astype(np.int64), word[b].astype(np.int64) + least_words, other[a].astype(np.int64), other[b].astype(np.int64) + least_words, np.ones(len(a))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "holder", "piece_start", "piece_end", "other_start", "other_end", "similarity"])
+
+    return met.repartition(parts, "key").sortWithinPartitions("key", "holder", "word", "other_word").mapInArrow(
+        merge, "key long, holder long, piece_start long, piece_end long, other_start long, other_end long, similarity double"
+    )
+
+
 def repeated_passages(
     docs: DataFrame,
     id: str = "doc_id",
@@ -342,7 +422,8 @@ def repeated_passages(
 
     kinds = "key long, holder long, piece_start long, piece_end long, other_start long, other_end long, similarity double, start_word long, end_word long"
     order = ["key", "piece_start", "piece_end", "holder", "other_start", "other_end", "similarity"]
-    passages = stage(aligned.repartition(parts, "key").sortWithinPartitions(*order).mapInArrow(find_passages, kinds), "passages")
+    pieces = aligned.unionByName(exact_runs(rows, least_words))
+    passages = stage(pieces.repartition(parts, "key").sortWithinPartitions(*order).mapInArrow(find_passages, kinds), "passages")
     names = rows.select("key", "id").distinct()
     found = passages.join(names, "key").join(names.select(F.col("key").alias("holder"), F.col("id").alias("other_id")), "holder")
     return found.select(F.col("id").alias(id), "key", "start_word", "end_word", "piece_start", "piece_end", "other_id", "other_start", "other_end", "similarity")
