@@ -1,0 +1,42 @@
+"""The driver contract with and without the optional subpackage."""
+
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+
+REPO = Path(__file__).parents[1]
+LISTED = "import __spark_entry__ as e; from catalog_star.registry import QUERIES; print(*sorted(set(e.queries()) - set(QUERIES)), len(e.queries()) >= len(QUERIES))"
+
+
+def listed(folder: Path) -> str:
+    done = subprocess.run([sys.executable, "-c", LISTED], cwd=folder, capture_output=True, text=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(folder)})
+    assert done.returncode == 0, done.stderr
+    return done.stdout.strip()
+
+
+@pytest.fixture
+def bare_copy(tmp_path):
+    def without(names):
+        target = tmp_path / "copy"
+        shutil.copytree(REPO, target, ignore=lambda folder, found: {x for x in found if x in (".git", "__pycache__", "llm", *names)})
+        return target
+
+    return without
+
+
+def test_entry_without_the_optional_parts(bare_copy):
+    assert listed(bare_copy(["corpus_pipeline.py"])) == "True"
+
+
+def test_entry_with_a_pipeline_whose_operators_are_gone(bare_copy):
+    assert listed(bare_copy([])) == "True"
+
+
+def test_a_broken_import_is_not_hidden(bare_copy):
+    folder = bare_copy(["corpus_pipeline.py"])
+    (folder / "corpus_pipeline.py").write_text("import no_such_module_anywhere")
+    with pytest.raises(AssertionError, match="no_such_module_anywhere"):
+        listed(folder)
