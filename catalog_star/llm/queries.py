@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_star.llm import embeddings, language, mixing, packing, quality, simhash, substrings, tokencounts, toxicity, warc
+from catalog_star.llm import embeddings, language, mixing, packing, quality, secrets, simhash, substrings, tokencounts, toxicity, warc
 from catalog_star.staging import stage_path
 
 QUERIES = {}
@@ -102,3 +102,14 @@ def op7_pivot_index(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_collinear_chains(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.repeated_passages(table(spark, folder, "documents")).drop("key")
+
+
+@query
+def op12_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"), secrets.written(F.col("spans")).alias("spans")
+    )
+
+
+SQL["op12_secrets"] = secrets.comparison_sql("documents")
