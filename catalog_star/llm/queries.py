@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_star.llm import embeddings, language, mixing, packing, quality, secrets, simhash, substrings, tokencounts, toxicity, warc
+from catalog_star.llm import embeddings, language, merkle, mixing, packing, quality, secrets, simhash, substrings, tokencounts, toxicity, warc
 from catalog_star.staging import stage_path
 
 QUERIES = {}
@@ -113,3 +113,18 @@ def op12_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op12_secrets"] = secrets.comparison_sql("documents")
+
+
+@query
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.when(in_fold("doc_id", 2, 0), F.translate("text", "\n", "")).otherwise(F.col("text"))
+    proofs = merkle.prove(table(spark, folder, "documents"), altered={"text": tampered})
+    proofs = proofs.withColumn("folded", merkle.folded(F.col("claimed"), F.col("siblings")))
+    way = F.array_join(F.transform("siblings", lambda s: merkle.written(F.concat(s["left"], s["right"]))), "")
+    return proofs.select(
+        "doc_id", *[merkle.written(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")], F.sha2(way, 256).alias("proof_sha256"),
+        merkle.written(F.col("folded")).alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+SQL["op11_merkle"] = merkle.comparison_sql("documents")
