@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_star.llm import embeddings, language, merkle, mixing, packing, quality, secrets, simhash, substrings, tokencounts, toxicity, warc
-from catalog_star.staging import stage_path
+from catalog_star.llm import embeddings, language, merkle, mixing, packing, quality, secrets, simhash, substrings, tokencounts, toxicity, turns, warc
+from catalog_star.staging import stage, stage_path
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -128,3 +128,27 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op11_merkle"] = merkle.comparison_sql("documents")
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with some rows dropped, emptied, cut short, repeated or given the wrong role, by the CRC-32 of conversation and turn."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(blank("conv_id"), F.lit(":"), blank("turn"))) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(blank("text"), "[.!?]", "")).otherwise(blank("text"))
+    role = F.when(kind == 4, "user").otherwise(blank("role"))
+    copies = F.explode(F.sequence(F.lit(1), F.when(kind == 3, 2).otherwise(1)))
+    return rows.where(kind != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    fixed = turns.repair(damaged(rows))
+    digests = stage(turns.line_digests(fixed.lines), "line_digests")
+    report = stage(fixed.report, "report")
+    found = rows.select(F.col("conv_id").alias("__id")).distinct()
+    found = found.join(report, F.col("__id").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    found = found.join(digests, F.col("__id").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    zeros = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    empty = F.sha2(F.lit(""), 256)
+    return found.select(F.col("__id").alias("conv_id"), *zeros, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", empty).alias("repaired_sha256"))
