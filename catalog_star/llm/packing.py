@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -281,25 +282,60 @@ def evolve(length: list[int], capacity: int, founders: list[list[list[int]]], se
     return min(people, key=lambda b: fitness(b, length, capacity))
 
 
-def _evolved(problems: DataFrame, capacity: int, population: int, generations: int, epoch: int) -> DataFrame:
+_ITEMS = "items array<struct<length: bigint, uid: bigint>>"
+
+
+def _lists(column: pa.Array) -> list[list[int] | None]:
+    """Whole numbers of a list column, list by list."""
+    values, at = column.flatten().to_pylist(), np.append(0, np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy())).tolist()
+    return [values[a:b] if ok else None for a, b, ok in zip(at[:-1], at[1:], column.is_valid().to_pylist())]
+
+
+def _lengths(items: pa.Array) -> list[list[int]]:
+    at = items.offsets.to_numpy() - items.offsets[0].as_py()
+    values = items.flatten().field("length").to_pylist()
+    return [values[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
+def _solved(batch: pa.RecordBatch, keep: list[str], solutions: list[tuple[list[list[int]], list[int]]], capacity: int) -> pa.RecordBatch:
+    """The kept columns with each problem's bins: elite (the bin of every item), bins, least (how many the lengths need) and cost."""
+    elites, counts, least, costs = [], [], [], []
+    for bins, length in solutions:
+        elite = [0] * len(length)
+        for k, b in enumerate(bins):
+            for i in b:
+                elite[i] = k
+        count, cost = fitness(bins, length, capacity)
+        elites.append(elite), counts.append(count), least.append(-(-sum(length) // capacity)), costs.append(cost)
+    made = [pa.array(elites, pa.list_(pa.int32())), pa.array(counts, pa.int64()), pa.array(least, pa.int64()), pa.array(costs, pa.float64())]
+    return pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *made], names=[*keep, "elite", "bins", "least", "cost"])
+
+
+def _founded(problems: DataFrame, capacity: int) -> DataFrame:
+    """Best-fit decreasing, once a problem: (problem, items) with elite, bins, least and cost."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = _lengths(batch.column("items"))
+            solutions = [(best_fit(sorted(range(len(n)), key=lambda i: (-n[i], i)), n, capacity), n) for n in lengths]
+            yield _solved(batch, ["problem", "items"], solutions, capacity)
+
+    return problems.mapInArrow(run, f"problem long, {_ITEMS}, elite array<int>, bins long, least long, cost double")
+
+
+def _evolved(islands: DataFrame, capacity: int, population: int, generations: int, epoch: int) -> DataFrame:
     """One epoch on every island: (problem, island, items, elite, guest) to the same with a new elite, its bins and its fitness."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                length = [x["length"] for x in row["items"]]
-                founders = [_bins(x) for x in (row["elite"], row["guest"]) if x is not None]
-                bins = evolve(length, capacity, founders, zlib.crc32(f"{row['problem']}|{row['island']}|{epoch}".encode()), population, generations)
-                count, cost = fitness(bins, length, capacity)
-                elite = [0] * len(length)
-                for k, b in enumerate(bins):
-                    for i in b:
-                        elite[i] = k
-                yield pa.RecordBatch.from_pylist([{**{k: row[k] for k in ("problem", "island", "items")}, "elite": elite, "bins": count, "cost": cost}], schema=out)
-
-    kind = pa.list_(pa.struct([("length", pa.int64()), ("uid", pa.int64())]))
-    out = pa.schema([("problem", pa.int64()), ("island", pa.int32()), ("items", kind), ("elite", pa.list_(pa.int32())), ("bins", pa.int64()), ("cost", pa.float64())])
-    return problems.mapInArrow(run, "problem long, island int, items array<struct<length: bigint, uid: bigint>>, elite array<int>, bins long, cost double")
+            lengths = _lengths(batch.column("items"))
+            founders = [[_bins(x) for x in pair if x is not None] for pair in zip(_lists(batch.column("elite")), _lists(batch.column("guest")))]
+            names = zip(batch.column("problem").to_pylist(), batch.column("island").to_pylist())
+            seeds = [zlib.crc32(f"{problem}|{island}|{epoch}".encode()) for problem, island in names]
+            solutions = [(evolve(n, capacity, f, seed, population, generations), n) for n, f, seed in zip(lengths, founders, seeds)]
+            yield _solved(batch, ["problem", "island", "items"], solutions, capacity)
+
+    return islands.mapInArrow(run, f"problem long, island int, {_ITEMS}, elite array<int>, bins long, least long, cost double")
 
 
 def _bins(elite: list[int]) -> list[list[int]]:
@@ -320,16 +356,20 @@ def genetic_packing(
         last = problems == 1 or round_ == most_rounds - 1
         problem = F.pmod(F.xxhash64("uid", F.lit(round_)), F.lit(problems))
         grouped = items.groupBy(problem.alias("problem")).agg(F.sort_array(F.collect_list(F.struct("length", "uid")), asc=False).alias("items"))
-        grouped = grouped.select("problem", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), "items")
-        none = F.lit(None).cast("array<int>")
-        state = grouped.withColumns({"elite": none, "guest": none}).repartition(min(4096, problems * islands), "problem", "island")
-        for epoch in range(epochs):
-            state = stage(_evolved(state, capacity, population, generations, epoch * most_rounds + round_), "islands")
-            if epoch < epochs - 1:  # the elite of the island before comes over
-                ring = Window.partitionBy("problem").orderBy("island")
-                whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-                state = state.withColumn("guest", F.coalesce(F.lag("elite").over(ring), F.last("elite").over(whole))).repartition(min(4096, problems * islands), "problem", "island")
-        best = state.groupBy("problem").agg(F.min_by(F.struct("items", "elite"), F.struct("bins", "cost", "island")).alias("x"))
+        founded = stage(_founded(grouped.repartition(min(4096, problems), "problem"), capacity), "founded")
+        best = founded.where("bins <= least").select("problem", F.struct("items", "elite").alias("x"))
+        open_ = founded.where("bins > least")
+        if not open_.select("problem").isEmpty():  # only what best-fit decreasing leaves open is evolved
+            spread = min(4096, problems * islands)
+            state = open_.select("problem", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), "items", "elite", F.lit(None).cast("array<int>").alias("guest"))
+            state = state.repartition(spread, "problem", "island")
+            for epoch in range(epochs):
+                state = stage(_evolved(state, capacity, population, generations, epoch * most_rounds + round_), "islands")
+                if epoch < epochs - 1:  # the elite of the island before comes over
+                    ring = Window.partitionBy("problem").orderBy("island")
+                    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+                    state = state.withColumn("guest", F.coalesce(F.lag("elite").over(ring), F.last("elite").over(whole))).repartition(spread, "problem", "island")
+            best = best.unionByName(state.groupBy("problem").agg(F.min_by(F.struct("items", "elite"), F.struct("bins", "cost", "island")).alias("x")))
         flat = best.select("problem", F.explode(F.arrays_zip(F.col("x.items").alias("item"), F.col("x.elite").alias("bin"))).alias("p"))
         flat = flat.select("problem", F.col("p.bin").alias("bin"), F.col("p.item.uid").alias("uid"), F.col("p.item.length").alias("length"))
         inside = Window.partitionBy("problem", "bin")

@@ -7,8 +7,10 @@ import numpy as np
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from catalog_star.llm import packing
 from catalog_star.llm.packing import best_fit, crossover, evolve, genetic_packing, mutate, pack_documents
 from catalog_star.llm.tokencounts import WORD_BEGIN, Pieces, PretokenTrie, token_counts
 
@@ -104,3 +106,32 @@ def test_operators_keep_every_piece_once(length, seed):
         assert sorted(i for x in bins for i in x) == list(range(len(length)))
         assert all(sum(length[i] for i in x) <= 50 for x in bins)
     assert len(evolve(length, 50, [a], seed, 4, 3)) <= len(a)
+
+
+def test_islands_improve_on_best_fit_decreasing(spark):
+    rng = np.random.Generator(np.random.PCG64(5))
+    capacity, problems = 60, []
+    for _ in range(40):  # bins that three pieces fill
+        cuts = [np.sort(rng.choice(np.arange(1, capacity), 2, replace=False)) for _ in range(12)]
+        problems.append([int(x) for a, b in cuts for x in (a, b - a, capacity - b)])
+    first = [len(best_fit(sorted(range(36), key=lambda i: (-p[i], i)), p, capacity)) for p in problems]
+    hard = [p for p, n in zip(problems, first) if n > 12]
+    assert len(hard) > 5
+    better = 0
+    for p in hard:
+        items = [(i, n) for i, n in enumerate(p)]
+        state = spark.createDataFrame([(0, k, [(n, i) for i, n in items], None, None) for k in range(3)], "problem long, island int, items array<struct<length: bigint, uid: bigint>>, elite array<int>, guest array<int>")
+        found = packing._evolved(state, capacity, 8, 30, 0).agg({"bins": "min"}).first()[0]
+        assert found <= 13
+        better += found < len(best_fit(sorted(range(36), key=lambda i: (-p[i], i)), p, capacity))
+        if better:
+            break
+    assert better
+
+
+def test_only_open_problems_are_evolved(spark, monkeypatch):
+    seen = []
+    whole = packing._evolved
+    monkeypatch.setattr(packing, "_evolved", lambda islands, *rest: (seen.append(islands.select("problem").distinct().count()), whole(islands, *rest))[1])
+    easy = spark.range(4000).select(F.col("id").alias("uid"), F.lit(64).cast("long").alias("length"))
+    assert genetic_packing(easy, 512, problem_size=500).count() == 4000 and seen == []
