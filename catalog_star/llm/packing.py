@@ -260,26 +260,28 @@ def evolve(length: list[int], capacity: int, founders: list[list[list[int]]], se
     """The best individual of one island's epoch. The first founder, if there is none, is best-fit decreasing."""
     least = -(-sum(length) // capacity)
     down = sorted(range(len(length)), key=lambda i: (-length[i], i))
-    people = list(founders) or [best_fit(down, length, capacity)]
-    best = min(people, key=lambda b: fitness(b, length, capacity))
+    rated = lambda b: (fitness(b, length, capacity), b)
+    people = [rated(b) for b in founders or [best_fit(down, length, capacity)]]
+    by_fitness = lambda x: x[0]
+    best = min(people, key=by_fitness)[1]
     if len(best) <= least:
         return best
     rng = np.random.Generator(np.random.PCG64(seed))
     while len(people) < population:
         noise = rng.uniform(0.9, 1.1, len(length))
-        people.append(best_fit(sorted(down, key=lambda i: -length[i] * noise[i]), length, capacity))
+        people.append(rated(best_fit(sorted(down, key=lambda i: -length[i] * noise[i]), length, capacity)))
     for _ in range(generations):
-        ranked = sorted(people, key=lambda b: fitness(b, length, capacity))
-        if len(ranked[0]) <= least:
+        ranked = sorted(people, key=by_fitness)
+        if len(ranked[0][1]) <= least:
             break
         parents = ranked[: max(2, population // 2)]
         children = []
         for _ in range(population - len(parents)):
             a, b = rng.choice(len(parents), 2, replace=False)
-            child = crossover(parents[a], parents[b], length, capacity, rng)
-            children.append(mutate(child, length, capacity, rng) if rng.random() < 0.5 else child)
+            child = crossover(parents[a][1], parents[b][1], length, capacity, rng)
+            children.append(rated(mutate(child, length, capacity, rng) if rng.random() < 0.5 else child))
         people = parents + children
-    return min(people, key=lambda b: fitness(b, length, capacity))
+    return min(people, key=by_fitness)[1]
 
 
 _ITEMS = "items array<struct<length: bigint, uid: bigint>>"
@@ -356,11 +358,11 @@ def genetic_packing(
         last = problems == 1 or round_ == most_rounds - 1
         problem = F.pmod(F.xxhash64("uid", F.lit(round_)), F.lit(problems))
         grouped = items.groupBy(problem.alias("problem")).agg(F.sort_array(F.collect_list(F.struct("length", "uid")), asc=False).alias("items"))
-        founded = stage(_founded(grouped.repartition(min(4096, problems), "problem"), capacity), "founded")
+        founded = stage(_founded(grouped.repartition(min(4096, -(-problems // 4)), "problem"), capacity), "founded")
         best = founded.where("bins <= least").select("problem", F.struct("items", "elite").alias("x"))
         open_ = founded.where("bins > least")
-        if not open_.select("problem").isEmpty():  # only what best-fit decreasing leaves open is evolved
-            spread = min(4096, problems * islands)
+        if unsolved := open_.select("problem").count():  # only what best-fit decreasing leaves open is evolved
+            spread = min(4096, unsolved * islands)
             state = open_.select("problem", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), "items", "elite", F.lit(None).cast("array<int>").alias("guest"))
             state = state.repartition(spread, "problem", "island")
             for epoch in range(epochs):
