@@ -10,7 +10,6 @@ from catalog_star.llm.queries import QUERIES
 from catalog_star.llm.texts import Texts
 
 DATA = "/root/testdata/sf0.01"
-INSULTS = {"trash", "pathetic", "worthless", "idiot", "disgusting", "loser", "scum", "clown", "moron", "stupid"}  # fixed values: the words planted in the test data
 
 
 def test_language_of_held_out_texts(spark):
@@ -75,15 +74,28 @@ def test_language_of_odd_rows(spark, odd_rows, no_rows):
     assert language.identify(no_rows, network, {"doc_id": "doc_id"}).collect() == []
 
 
-def test_toxic_texts_are_found_and_clean_ones_left(spark):
-    found = {r["doc_id"]: r for r in QUERIES["op10_toxicity"](spark, "/root/testdata/sf0.1").collect()}
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").collect()
-    assert len(found) == len(docs)
-    toxic = {d["doc_id"]: len(INSULTS & set(d["text"].lower().split())) > 0 for d in docs}
-    held = [i for i, r in found.items() if r["held_out"]]
-    assert all(found[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i in found)
-    assert np.mean([found[i]["predicted"] for i in held if toxic[i]]) > 0.9
-    assert np.mean([found[i]["predicted"] for i in held if not toxic[i]]) < 0.02
+def held_out(spark, folder):
+    """Of labelled rows whose labels were not learnt: (language, label, predicted)."""
+    docs, labels = (spark.read.parquet(f"{folder}/{x}.parquet") for x in ("documents", "labels"))
+    known = docs.join(labels, "doc_id").where("text is not null and toxic is not null").select("doc_id", "lang", "toxic")
+    found = QUERIES["op10_toxicity"](spark, folder)
+    rows = found.where("held_out").join(known, "doc_id").select("lang", "toxic", "predicted").collect()
+    assert found.count() == docs.count()
+    return rows
+
+
+def test_toxicity_of_held_out_texts(spark):
+    rows = held_out(spark, "/root/testdata/check_s")
+    for lang in ("en", "de", "fr", "es"):
+        own = [r for r in rows if r["lang"] == lang]
+        assert np.mean([r["predicted"] for r in own if r["toxic"]]) > 0.8
+        assert np.mean([r["predicted"] for r in own if not r["toxic"]]) < 0.05
+    assert np.mean([r["predicted"] for r in rows if r["toxic"]]) > 0.9
+
+
+def test_folds_of_toxicity(spark):
+    found = QUERIES["op10_toxicity"](spark, DATA).collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in found)
 
 
 def test_word_windows_cover_the_text():
@@ -97,8 +109,8 @@ def test_word_windows_cover_the_text():
 
 def test_toxicity_of_odd_rows(spark, odd_rows, no_rows):
     labels = spark.createDataFrame([(4, 1, 0), (4, 0, 0), (7, 0, 0), (9, None, 0), (None, 1, 0), (6, 0, 0)], "doc_id long, toxic int, text int")
-    drawn = toxicity.draw_labelled(odd_rows, labels, "doc_id", "text", "toxic", 10)
-    assert sorted(k for _, k in drawn) == [0, 0, 1, 1, 1] and max(len(t) for t, _ in drawn) <= 16_384 + 32
+    drawn = toxicity.draw_labelled(odd_rows, labels, "doc_id", "text", "toxic", 10, 10)
+    assert sorted(k for _, k in drawn) == [0, 0, 1] and max(len(t) for t, _ in drawn) <= 16_384 + 32
     model = toxicity.fit([("you idiot and moron go away now", 1), ("the river flows past green fields", 0)] * 12)
     found = toxicity.score_texts(odd_rows, model, {"doc_id": "doc_id"}).collect()
     assert len(found) == odd_rows.count() and all(0 <= r["score"] <= 1 for r in found)
@@ -107,7 +119,26 @@ def test_toxicity_of_odd_rows(spark, odd_rows, no_rows):
     assert toxicity.score_texts(no_rows, model, {"doc_id": "doc_id"}).collect() == []
 
 
-def test_copies_do_not_mark_words():
+def test_copies_do_not_mark_runs():
     toxic = ["the moron said nothing useful today at all"] * 30 + [f"{a * 3} moron {b * 3} went" for a in "abcdefgh" for b in "ijklm"]
-    plain = [f"{a * 3} quiet {b * 3} went" for a in "abcdefgh" for b in "ijklm"]
-    assert toxicity.marking_words(toxic, plain, 0.15) == ["moron"]
+    ordinary = [f"{a * 3} quiet {b * 3} went" for a in "abcdefgh" for b in "ijklm"]
+    runs = [toxicity.surroundings(x)[1] for x in (toxic, ordinary)]
+    marks = toxicity.marking_runs(*runs, 10.0, 8)
+    assert {int(x).to_bytes(5, "big") for x in marks} == {b" moro", b"moron", b"oron "}
+    dictionary = toxicity.toxic_dictionary(toxic, ordinary, 1024, 10.0, 8)
+    assert b" moron " in dictionary and b"useful" not in dictionary and b"went" not in dictionary
+
+
+def test_dictionaries_come_from_the_trainer(monkeypatch):
+    made = []
+    whole = toxicity.zstandard.train_dictionary
+    monkeypatch.setattr(toxicity.zstandard, "train_dictionary", lambda *a, **k: (made.append(len(a[1])), whole(*a, **k))[1])
+    rng = np.random.Generator(np.random.PCG64(1))
+    words = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
+    text = lambda extra: " ".join(rng.permutation([*rng.choice(words, 60), *extra]))
+    texts = [(text(["vermin"] * 2), 1) for _ in range(60)] + [(text([]), 0) for _ in range(60)]
+    model = toxicity.fit(texts)
+    assert len(made) == 2 and b"vermin" in model.toxic and b"vermin" not in model.ordinary
+    packers = model.packers()
+    score = model.score(np.array([model.features(t, packers) for t in (text(["vermin"] * 3), text([]))]))
+    assert score[0] > 0.5 > score[1]
