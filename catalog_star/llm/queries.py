@@ -61,7 +61,7 @@ def in_fold(column: str, folds: int, fold: int):
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     learn = labels.where(~in_fold("doc_id", 5, 0))
-    model = toxicity.fit(toxicity.draw_labelled(docs, learn, "doc_id", "text", "toxic", most_toxic=1500, most_ordinary=4500))
+    model = toxicity.fit(toxicity.draw_labelled(docs, learn, "doc_id", "text", "toxic", most_toxic=1500, most_ordinary=3000))
     scored = toxicity.score_texts(docs, model, {"doc_id": "doc_id"})
     return scored.select("doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

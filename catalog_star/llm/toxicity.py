@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -53,37 +54,47 @@ def runs_of(data: np.ndarray) -> np.ndarray:
     n = max(0, len(data) - RUN + 1)
     value, whole = np.zeros(n, np.uint64), np.ones(n, bool)
     for i in range(RUN):
-        value = (value << np.uint64(8)) | data[i : i + n]
+        value <<= np.uint64(8)
+        value |= data[i : i + n]
         whole &= data[i : i + n] != 0
-    return np.where(whole, value, 0)
+    value[~whole] = 0
+    return value
 
 
-def surroundings(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """The texts in one buffer, and the runs of bytes and their places in it, each run once for every different surroundings."""
+def surroundings(texts: list[str], parts: int = 8) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+    """The texts in one buffer, and the runs of bytes and their places in it, each run once for every different surroundings; in parts by run, to save memory."""
     gap = bytes(_MARGIN + RUN)
     buffer = gap + gap.join(plain(t) for t in texts) + gap
-    data = np.frombuffer(buffer, np.uint8).astype(np.uint64)
-    run = runs_of(data)
-    place = np.flatnonzero(run)
-    around = np.zeros(len(place), np.uint64)
-    with np.errstate(over="ignore"):
-        for i in [*range(-_MARGIN, 0), *range(RUN, RUN + _MARGIN)]:
-            around = around * _FACTOR + data[place + i] + np.uint64(1)
-    order = np.lexsort((around, run[place]))
-    run, around, place = run[place][order], around[order], place[order]
-    new = np.ones(len(run), bool)
-    new[1:] = (run[1:] != run[:-1]) | (around[1:] != around[:-1])
-    return buffer, run[new], place[new]
-
-
-def marking_runs(toxic: np.ndarray, ordinary: np.ndarray, least_ratio: float, least_support: int) -> dict[int, float]:
+    data = np.frombuffer(buffer, np.uint8)
+    every = runs_of(data)
+    for part in range(parts):
+        place = np.flatnonzero((every > 0) & (every % np.uint64(parts) == part))
+        around = np.zeros(len(place), np.uint64)
+        with np.errstate(over="ignore"):
+            for i in [*range(-_MARGIN, 0), *range(RUN, RUN + _MARGIN)]:
+                around = around * _FACTOR + data[place + i] + np.uint64(1)
+        order = np.lexsort((around, every[place]))
+        run, around, place = every[place][order], around[order], place[order]
+        new = np.ones(len(run), bool)
+        new[1:] = (run[1:] != run[:-1]) | (around[1:] != around[:-1])
+        yield buffer, run[new], place[new]
+
+
+def _counted(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Runs, rising, and in how many different surroundings each is met."""
+    parts = [np.unique(run, return_counts=True) for _, run, _ in surroundings(texts)]
+    run, count = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    order = np.argsort(run)
+    return run[order], count[order]
+
+
+def marking_runs(toxic: list[str], ordinary: list[str], least_ratio: float, least_support: int) -> dict[int, float]:
     """Runs that are denser in toxic texts, with their weights: surroundings times the logarithm of the ratio of densities."""
-    run, count = np.unique(toxic, return_counts=True)
-    other, times = np.unique(ordinary, return_counts=True)
+    (run, count), (other, times) = _counted(toxic), _counted(ordinary)
     if not len(run) or not len(other):
         return {}
     at = np.minimum(np.searchsorted(other, run), len(other) - 1)
-    ratio = (count / len(toxic)) / ((np.where(other[at] == run, times[at], 0) + 0.5) / len(ordinary))
+    ratio = (count / count.sum()) / ((np.where(other[at] == run, times[at], 0) + 0.5) / times.sum())
     ok = (ratio >= least_ratio) & (count >= least_support)
     return dict(zip(run[ok].tolist(), (count[ok] * np.log(ratio[ok])).tolist()))
 
@@ -98,17 +109,18 @@ def trained(samples: list[bytes], size: int, segment: int, unit: int) -> bytes:
 
 
 def toxic_dictionary(toxic: list[str], ordinary: list[str], size: int, least_ratio: float, least_support: int) -> bytes:
-    buffer, run, place = surroundings(toxic)
-    marks = marking_runs(run, surroundings(ordinary)[1], least_ratio, least_support)
+    marks = marking_runs(toxic, ordinary, least_ratio, least_support)
     if not marks:
         return b""
-    chosen = np.isin(run, np.fromiter(marks, np.uint64))
-    pairs = zip(run[chosen].tolist(), place[chosen].tolist())
+    known, samples = np.fromiter(marks, np.uint64), set()
+    for buffer, run, place in surroundings(toxic):
+        chosen = np.isin(run, known)
+        samples |= {(marks[r], r, buffer[p - 4 : p + RUN + 10].strip(b"\0")) for r, p in zip(run[chosen].tolist(), place[chosen].tolist())}
     # The trainer picks the best segments of consecutive stretches, so pieces about one run lie together; the heaviest come last, nearest to the window.
-    samples = sorted({(marks[r], r, buffer[p - 4 : p + RUN + 10].strip(b"\0")) for r, p in pairs})
+    samples = sorted(samples)
     content = trained([s for _, _, s in samples], size, segment=16, unit=6)
     data = np.frombuffer(content, np.uint8)
-    hit = np.isin(runs_of(data.astype(np.uint64)), np.fromiter(marks, np.uint64))
+    hit = np.isin(runs_of(data), known)
     inside = np.zeros(len(data), bool)
     for i in range(RUN):
         inside[i : i + len(hit)] |= hit

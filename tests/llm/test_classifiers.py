@@ -122,9 +122,9 @@ def test_toxicity_of_odd_rows(spark, odd_rows, no_rows):
 def test_copies_do_not_mark_runs():
     toxic = ["the moron said nothing useful today at all"] * 30 + [f"{a * 3} moron {b * 3} went" for a in "abcdefgh" for b in "ijklm"]
     ordinary = [f"{a * 3} quiet {b * 3} went" for a in "abcdefgh" for b in "ijklm"]
-    runs = [toxicity.surroundings(x)[1] for x in (toxic, ordinary)]
-    marks = toxicity.marking_runs(*runs, 10.0, 8)
-    assert {int(x).to_bytes(5, "big") for x in marks} == {b" moro", b"moron", b"oron "}
+    marks = toxicity.marking_runs(toxic, ordinary, 10.0, 8)
+    assert {b" moro", b"moron", b"oron "} <= {int(x).to_bytes(5, "big") for x in marks}
+    assert all({*b"oron"} & {*int(x).to_bytes(5, "big")} for x in marks)
     dictionary = toxicity.toxic_dictionary(toxic, ordinary, 1024, 10.0, 8)
     assert b" moron " in dictionary and b"useful" not in dictionary and b"went" not in dictionary
 
