@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from catalog_star.staging import stage
 
@@ -43,6 +43,29 @@ def number_rows(
     return placed.select(number.alias(key), *df.columns)
 
 
+def number_within(df: DataFrame, groups: str | Sequence[str], order: str | Sequence[str], key: str, label: str = "numbered_within") -> DataFrame:
+    """Add ``key`` = 1, 2, … following ``order`` within each group; the rows are staged in that order on the way.
+
+    A segmented scan: rows are range-partitioned by group and order, so a group of any size is cut by its order, which must be unique
+    within it. Rows are ranked within (partition, group), which no group can make larger than a partition. Only the groups at the
+    edges of partitions span several; their counts in the partitions before, at most two for every partition, are added.
+    """
+    groups = [groups] if isinstance(groups, str) else list(groups)
+    order = [order] if isinstance(order, str) else list(order)
+    placed = stage(df.repartitionByRange(*groups, *order).withColumn("_part", F.spark_partition_id()), label)
+    group = F.struct(*groups)
+    edges = placed.groupBy("_part").agg(F.array(F.min(group), F.max(group)).alias("_edges"))
+    spanning = edges.select("_part", F.explode(F.array_distinct("_edges")).alias("_group")).groupBy("_group").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    counts = placed.select("_part", group.alias("_group")).join(F.broadcast(spanning.select("_group")), "_group", "left_semi")
+    counts = counts.groupBy("_part", "_group").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("_part").alias("_at"), F.col("_group").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_part", *groups).orderBy(*order))
+    ranked = placed.withColumn("_rank", inside)
+    ranked = ranked.join(F.broadcast(offsets), (F.col("_part") == F.col("_at")) & group.eqNullSafe(F.col("_of")), "left")
+    return ranked.select(*df.columns, (F.col("_rank") + F.coalesce("_before", F.lit(0))).cast("long").alias(key))
+
+
 def _looked_up(table: Iterable[int], position: Column) -> Column:
     """Element of a constant array. A join would inflate the size estimate of the rows."""
     text = F.lit(",".join(map(str, table)))

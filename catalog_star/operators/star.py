@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from catalog_star import schemas as s
 from catalog_star.functions import values
 from catalog_star.operators.dedup import keep_first, key_digest
-from catalog_star.operators.keys import number_unseen
+from catalog_star.operators.keys import number_unseen, number_within
 from catalog_star.operators.quality import require_unique
 from catalog_star.staging import stage
 
@@ -129,14 +129,20 @@ def look_up_keys(facts: DataFrame, keyed: DataFrame, key: str, natural: str) ->
     return facts.join(lookup, F.col(natural).eqNullSafe(F.col(f"_{key}")), "left").drop(f"_{key}")
 
 
-def with_row_identity(flat: DataFrame, columns: list[str], order: str) -> DataFrame:
-    """Add what tells a fact row from others whenever it is loaded: a digest of its content, and its number among equal rows.
+def with_row_identity(digested: DataFrame, order: str, label: str = "copies") -> DataFrame:
+    """Add what tells a fact row from equal ones whenever it is loaded: beside ``_digest``, its number among rows of the same digest.
 
-    Equal rows are interchangeable, so they are told apart by count. Only digests and the order column are ranked.
+    Equal rows are interchangeable, so they are told apart by count. Digests are counted first; only rows of those that repeat are numbered, by a
+    scan that cuts even one group of equal rows into partitions, and come back by their order, which is unique.
     """
-    digested = flat.withColumn("_digest", key_digest(columns))
-    copies = Window.partitionBy("_digest").orderBy(order)
-    return digested.withColumn("_copy", F.row_number().over(copies).cast("long"))
+    repeated = stage(digested.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), f"{label}_repeated")
+    if repeated.isEmpty():
+        return digested.withColumn("_copy", F.lit(1).cast("long"))
+    again = digested.select(order, "_digest").join(repeated, "_digest", "left_semi")
+    copies = number_within(again, "_digest", order, "_copy", f"{label}_numbered").where("_copy > 1")
+    copies = stage(copies.select(F.col(order).alias("_order"), "_copy"), label)
+    found = digested.join(copies, F.col(order) == F.col("_order"), "left").drop("_order")
+    return found.withColumn("_copy", F.coalesce("_copy", F.lit(1).cast("long")))
 
 
 def build_star(
@@ -151,11 +157,12 @@ def build_star(
     """
     known = known or {}
     sources = layout.sources()
-    flat = stage(merged.select(order, *[c for c in merged.columns if c in sources and c != order]), layout.fact)
+    naturals = list(dict.fromkeys(d.natural for d in layout.dimensions))
+    flat = merged.select(order, *[c for c in merged.columns if c in sources and c != order])
+    flat = stage(flat.withColumn("_digest", key_digest([*naturals, *layout.measures])), layout.fact)
     require_unique(flat, order)
     keyed = {d.name: build_dimension(flat, d, order, known.get(d.name)) for d in layout.dimensions}
-    naturals = list(dict.fromkeys(d.natural for d in layout.dimensions))
-    facts = with_row_identity(flat.select(order, *dict.fromkeys(naturals + list(layout.measures))), [*naturals, *layout.measures], order)
+    facts = with_row_identity(flat.select(order, *dict.fromkeys(naturals + list(layout.measures)), "_digest"), order, f"{layout.fact}_copies")
     for d in layout.dimensions:
         facts = look_up_keys(facts, keyed[d.name], d.key, d.natural)
     facts = facts.select(order, *layout.references, *layout.measures, "_digest", "_copy")

@@ -76,3 +76,16 @@ def test_extended_keys_continue(spark):
     assert rows(found) == rows(spark.createDataFrame([(1, "b"), (2, None), (3, "z"), (4, "a")], "key long, v string"))
     again = keys.extend_keys(seen, found, ["v"], "o", "key")
     assert again.count() == 4
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_numbers_within_groups(spark, partitions):
+    data = [(None if i % 3 == 0 else i % 50, chr(97 + i % 4), i * 7 % 3001) for i in range(3000)]
+    df = spark.createDataFrame(data, "g int, h string, o int").repartition(partitions)
+    found = sorted(map(tuple, keys.number_within(df, ["g", "h"], "o", "n").collect()), key=str)
+    seen, expected = {}, []
+    for g, h, o in sorted(data, key=lambda r: r[2]):
+        seen[g, h] = seen.get((g, h), 0) + 1
+        expected.append((g, h, o, seen[g, h]))
+    assert found == sorted(expected, key=str)
+    assert keys.number_within(df.where("false"), "g", "o", "n").collect() == []

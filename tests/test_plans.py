@@ -3,11 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog_star import staging
 from catalog_star.operators import dedup, enrich
-from catalog_star.operators.star import look_up_keys
+from catalog_star.operators.keys import number_within
+from catalog_star.operators.star import look_up_keys, with_row_identity
 from catalog_star.registry.roles import catalogue, table
 from catalog_star.staging import stage, stage_root
 from catalog_star.sinks.warehouse import CatalogWarehouse, FolderWarehouse, unseen_rows
@@ -156,3 +158,27 @@ def test_key_figures_scan_the_stored_fact(spark, tmp_path):
     for figure, joins in ((kpis.popularity_and_danceability, 1), (kpis.genres_by_winning_artists, 2)):
         plan = final_plan(figure(star)).split("Initial Plan")[0]
         assert "row_ord" not in plan and "tempo" not in plan and plan.count("Join") <= joins
+
+
+def test_numbers_within_a_hot_group_are_spread(spark, settings):
+    """A third of the rows are equal: no task ranks more than three times the median."""
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="24")
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("g"), (F.col("id") * 7919 % 30_011).alias("o"))
+    found = number_within(rows, "g", "o", "n")
+    assert found.where("g = -1").agg(F.min("n"), F.max("n"), F.count_distinct("n")).first() == (1, 10_000, 10_000)
+    # the window ranks by partition and group, so its tasks hold what these pieces hold
+    placed = spark.read.parquet(found.inputFiles()[0].rsplit("/", 1)[0])
+    pieces = sorted(r["count"] for r in placed.groupBy("_part").count().collect())
+    assert len(pieces) > 12 and pieces[-1] <= 3 * pieces[len(pieces) // 2]
+    assert placed.where("g = -1").select("_part").distinct().count() > 4
+    assert "SinglePartition" not in plan(found)
+
+
+def test_equal_fact_rows_are_told_apart(spark):
+    rows = spark.range(9000).select("id", F.sha2(F.when(F.col("id") % 3 == 0, "x").otherwise((F.col("id") % 3000).cast("string")), 256).alias("_digest"))
+    found = with_row_identity(rows, "id")
+    assert found.count() == 9000 == found.select("_digest", "_copy").distinct().count()
+    expected = rows.withColumn("_copy", F.row_number().over(Window.partitionBy("_digest").orderBy("id")).cast("long"))
+    assert found.exceptAll(expected).count() == 0
+    alone = with_row_identity(rows.where("id % 3 = 1 and id < 3000"), "id")
+    assert [r[0] for r in alone.select("_copy").distinct().collect()] == [1]
