@@ -5,13 +5,23 @@ Rows are sorted within ordered partitions, and the number of rows in the partiti
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from catalog_star.staging import stage
 
+
+@dataclass(frozen=True)
+class KnownKeys:
+    """A key map that is read in part: its highest key, and how to get the rows that may hold natural keys of some others."""
+
+    highest: int
+    near: Callable[[DataFrame, Sequence[str]], DataFrame]
+
+
 _SLOT_BITS = 33  # monotonically_increasing_id: partition above, row below
 
 
@@ -85,7 +95,7 @@ def matches(columns: Sequence[str], prefix: str = "_") -> Column:
 
 
 def number_unseen(
-    rows: DataFrame, known: DataFrame | None, natural: Sequence[str], order: str, key: str, label: str
+    rows: DataFrame, known: DataFrame | KnownKeys | None, natural: Sequence[str], order: str, key: str, label: str
 ) -> DataFrame:
     """``rows`` with their keys: known natural keys keep theirs, others continue after the highest in ``order``.
 
@@ -93,9 +103,13 @@ def number_unseen(
     """
     if known is None:
         return number_rows(rows, order, key, label=label)
+    if isinstance(known, KnownKeys):
+        rows = stage(rows, f"{label}_batch")
+        highest, known = known.highest, known.near(rows, natural)
+    else:
+        highest = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("m")).first()["m"]
     right = known.select(key, *[F.col(c).alias(f"_{c}") for c in natural])
     found = rows.join(right, matches(natural), "left").select(key, *rows.columns)
-    highest = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("m")).first()["m"]
     fresh = number_rows(found.where(F.col(key).isNull()).drop(key), order, key, start=highest + 1, label=f"{label}_new")
     return stage(found.where(F.col(key).isNotNull()).unionByName(fresh), label)
 

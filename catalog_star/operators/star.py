@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from catalog_star import schemas as s
 from catalog_star.functions import values
 from catalog_star.operators.dedup import keep_first, key_digest
-from catalog_star.operators.keys import number_unseen, number_within
+from catalog_star.operators.keys import KnownKeys, number_unseen, number_within
 from catalog_star.operators.quality import require_unique
 from catalog_star.staging import stage
 
@@ -104,7 +104,7 @@ TRACK_STAR = StarLayout(
 )
 
 
-def build_dimension(rows: DataFrame, dimension: Dimension, order: str, known: DataFrame | None = None) -> DataFrame:
+def build_dimension(rows: DataFrame, dimension: Dimension, order: str, known: DataFrame | KnownKeys | None = None) -> DataFrame:
     """Attributes of each natural key's first row, keyed by first appearance (staged).
 
     Natural keys in ``known`` keep their key. The natural key is kept as ``_natural`` for the fact to look keys up by.
@@ -115,7 +115,12 @@ def build_dimension(rows: DataFrame, dimension: Dimension, order: str, known: Da
     ]
     cut = rows.select(order, F.col(dimension.natural).alias("_natural"), *attributes)
     first = keep_first(cut, ["_natural"], order, collapse=dimension.repeats)
-    known = known.withColumnRenamed(dimension.natural, "_natural") if known is not None else None
+    if isinstance(known, DataFrame):
+        known = known.withColumnRenamed(dimension.natural, "_natural")
+    if isinstance(known, KnownKeys):  # its buckets go by the stored name and type of the natural key
+        stored = known
+        near = lambda batch, _: stored.near(batch.select(F.col("_natural").alias(dimension.natural)), [dimension.natural]).withColumnRenamed(dimension.natural, "_natural")
+        known = KnownKeys(stored.highest, near)
     return number_unseen(first, known, ["_natural"], order, dimension.key, dimension.name).drop(order)
 
 
@@ -146,7 +151,7 @@ def with_row_identity(digested: DataFrame, order: str, label: str = "copies") ->
 
 
 def build_star(
-    merged: DataFrame, order: str = s.ROW_ORDER, layout: StarLayout = TRACK_STAR, known: dict[str, DataFrame] | None = None
+    merged: DataFrame, order: str = s.ROW_ORDER, layout: StarLayout = TRACK_STAR, known: dict[str, DataFrame] | dict[str, KnownKeys] | None = None
 ) -> Star:
     """Derive all tables from ``merged``; ``order`` must be unique, which is checked.
 

@@ -16,6 +16,7 @@ from catalog_star.plans import etl, kpis
 from catalog_star.registry import comparison as c
 from catalog_star.registry.roles import awards_raw, catalogue, table
 from catalog_star.sinks.files import export_tables, write_csv
+from catalog_star.sinks.versions import VersionedWarehouse
 from catalog_star.sinks.warehouse import FolderWarehouse, counts_frame, insert_ignore, load_star, stored_star, unseen_rows
 from catalog_star.sources.csv import null_tokens, read_csv, read_csv_text
 from catalog_star.staging import stage_path
@@ -352,27 +353,32 @@ def star_load_counts(spark, folder):
     return first.select(F.lit(1).alias("load"), "*").unionByName(second.select(F.lit(2).alias("load"), "*"))
 
 
-_GROWN = """, artists as (select primary_artist, row_number() over (order by min(row_ord) filter (popularity > 20) is null,
-            coalesce(min(row_ord) filter (popularity > 20), min(row_ord))) as artist_key from merged group by primary_artist),
-        genres as (select track_genre, row_number() over (order by min(row_ord) filter (popularity > 20) is null,
-            coalesce(min(row_ord) filter (popularity > 20), min(row_ord))) as genre_key from merged group by track_genre),
-        tracks as (select track_id, row_number() over (order by min(row_ord) filter (popularity > 20) is null,
-            coalesce(min(row_ord) filter (popularity > 20), min(row_ord))) as track_key from merged group by track_id),
-        seen as (select * from merged qualify row_number() over (partition by track_id order by popularity <= 20, row_ord) = 1)
-       select row_number() over (order by m.popularity <= 20, m.row_ord) as stream_key, t.track_key, a.artist_key, g.genre_key,
+def _grown(first: str) -> str:
+    """The star after a load of the rows that meet ``first``, then of all."""
+    return f""", artists as (select primary_artist, row_number() over (order by min(row_ord) filter ({first}) is null,
+            coalesce(min(row_ord) filter ({first}), min(row_ord))) as artist_key from merged group by primary_artist),
+        genres as (select track_genre, row_number() over (order by min(row_ord) filter ({first}) is null,
+            coalesce(min(row_ord) filter ({first}), min(row_ord))) as genre_key from merged group by track_genre),
+        tracks as (select track_id, row_number() over (order by min(row_ord) filter ({first}) is null,
+            coalesce(min(row_ord) filter ({first}), min(row_ord))) as track_key from merged group by track_id),
+        seen as (select * from merged qualify row_number() over (partition by track_id order by not ({first}), row_ord) = 1)
+       select row_number() over (order by not (m.{first}), m.row_ord) as stream_key, t.track_key, a.artist_key, g.genre_key,
             m.popularity, a.primary_artist, g.track_genre, seen.album_name
        from merged m join artists a using (primary_artist) join genres g on m.track_genre is not distinct from g.track_genre
             join tracks t on m.track_id = t.track_id join seen on m.track_id = seen.track_id"""
 
 
-@query(c.over("merged", _GROWN))
+@query(c.over("merged", _grown("popularity > 20")))
 def grown_load(spark, folder):
     """The stored star after two loads: part of the catalogue, then all of it, whose new rows come before and between the old."""
     house = FolderWarehouse(spark, stage_path(spark, "grown"))
     tracks, awards = catalogue(spark, folder).tracks_raw(), awards_raw(spark, folder)
     for rows in (tracks.where("popularity > 20"), tracks):
         etl.run(rows, awards, house).drop_stages()
-    star = stored_star(house)
+    return _named_facts(stored_star(house))
+
+
+def _named_facts(star):
     fact = star.fact.select("stream_key", "track_key", "artist_key", "genre_key", "popularity")
     for name, attribute in (("dim_artist", "primary_artist"), ("dim_genre", "track_genre"), ("dim_track", "album_name")):
         dimension = star.dimensions[name]
@@ -380,6 +386,33 @@ def grown_load(spark, folder):
     return fact
 
 
+@query(
+    c.over(
+        "merged",
+        _grown("popularity > 20").replace("select row_number() over (order by not (m.", ", grown as (select row_number() over (order by not (m.", 1)
+        + ") select 2 as version, * from grown union all select 1, * from grown where popularity > 20",
+    )
+)
+def load_versions(spark, folder):
+    """The star as the first of two loads left it, read after the second, and as the second did."""
+    house = VersionedWarehouse(spark, stage_path(spark, "versions"))
+    tracks, awards = catalogue(spark, folder).tracks_raw(), awards_raw(spark, folder)
+    for rows in (tracks.where("popularity > 20"), tracks):
+        etl.run(rows, awards, house).drop_stages()
+    found = [_named_facts(house.snapshot(v).star()).select(F.lit(v).alias("version"), "*") for v in house.versions()]
+    return found[0].unionByName(found[1])
+
+
+@query(c.over("merged", _grown("row_ord % 50 > 0")))
+def pruned_load(spark, folder):
+    """The star after a large load and a small one, whose natural keys are looked up in few buckets of the key maps."""
+    house = VersionedWarehouse(spark, stage_path(spark, "pruned"), buckets=256)
+    tracks, awards = catalogue(spark, folder).tracks_raw(), awards_raw(spark, folder)
+    for rows in (tracks.where("row_ord % 50 > 0"), tracks.where("row_ord % 50 = 0")):
+        etl.run(rows, awards, house).drop_stages()
+    return _named_facts(house.snapshot().star())
+
+
 @query(
     c.over(
         "fact_streams",
