@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,7 +20,7 @@ from catalog_star.sinks.files import export_tables, write_csv
 from catalog_star.sinks.versions import VersionedWarehouse
 from catalog_star.sinks.warehouse import FolderWarehouse, counts_frame, insert_ignore, load_star, stored_star, unseen_rows
 from catalog_star.sources.csv import null_tokens, read_csv, read_csv_text
-from catalog_star.staging import stage_path
+from catalog_star.staging import current_scope, stage_path
 
 
 @dataclass(frozen=True)
@@ -403,6 +404,42 @@ def load_versions(spark, folder):
     return found[0].unionByName(found[1])
 
 
+@query(c.over("fact_streams", "select 'loaded' as figure, count(*) as n from fact_streams union all select 'artists', count(*) from dim_artist union all select 'broken', 1 union all select 'scanned again', 0"))
+def resumed_run(spark, folder):
+    """A run that breaks off while it loads, and the next one: its rows, and how many finished stages had to be made again."""
+    house = VersionedWarehouse(spark, stage_path(spark, "resumed"))
+    tracks, awards = catalogue(spark, folder).tracks_raw(), awards_raw(spark, folder)
+    job = (tracks, awards, BreakingWarehouse(spark, house.folder))
+    made = broken = 0
+    try:
+        etl.run(*job, resume=True)
+    except ConnectionError as error:
+        broken, made = 1, error.args[0]
+    run = etl.run(tracks, awards, house, resume=True)
+    star = house.snapshot().star()
+    figures = {"loaded": star.fact, "artists": star.dimensions["dim_artist"]}
+    counted = [df.agg(F.lit(name).alias("figure"), F.count(F.lit(1)).alias("n")) for name, df in figures.items()]
+    rest = spark.createDataFrame([("broken", broken), ("scanned again", made - len(run.stages.taken_up))], "figure string, n long")
+    return counted[0].unionByName(counted[1]).unionByName(rest)
+
+
+class BreakingWarehouse(VersionedWarehouse):
+    """A warehouse whose connection is lost when the fact is to be written; the error tells how many stages there were."""
+
+    @contextmanager
+    def load(self):
+        with super().load() as load:
+            store = load.insert_new
+
+            def insert_new(rows, table, *rest):
+                if table == "fact_streams":
+                    raise ConnectionError(current_scope().count)
+                return store(rows, table, *rest)
+
+            load.insert_new = insert_new
+            yield load
+
+
 @query(c.over("merged", _grown("row_ord % 50 > 0")))
 def pruned_load(spark, folder):
     """The star after a large load and a small one, whose natural keys are looked up in few buckets of the key maps."""
