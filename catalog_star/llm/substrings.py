@@ -1,13 +1,14 @@
 """Passages that repeat across documents, exactly or nearly: seeds, collinear chains, alignment.
 
 Seeds are the minimizers of word k-mers: the least hash of every window of neighbouring k-mers, so two texts that share
-``window + k - 1`` words in a row share a seed. Every occurrence of a seed is matched to the document that has it and whose
-key is least; that makes as many matches as occurrences, however common a passage is, and leaves one holder of
-each. A match by itself counts if another, whoever its holder, is near. The matches of two documents are chained in order of both by a tree of maxima over gap-adjusted scores. Chains are aligned word by word between their
-seeds and beyond their ends; only the blocks of text that a chain touches are brought together for that.
+``window + k - 1`` words in a row share a seed. The documents that have a seed are put in order, and each occurrence is matched to the document before: that makes
+as many matches as occurrences, however common a passage is. Occurrences in one stretch of the input are matched where they are read, and only the
+first document of a stretch goes on, so a common seed sends one document a stretch over the network. A match by itself counts if another, whoever its partner, is
+near. The matches of two documents are chained in order of both by a tree of maxima over gap-adjusted scores. It is a segment tree rather than a Fenwick tree, as
+matches out of reach must leave it. Chains are aligned word by word between their seeds and beyond their ends; only the blocks of text that a chain touches are brought together for that.
 
 A seed's holder need not be the document that shares the passage around it. Exact passages are therefore found by themselves: every
-run of ``least_words`` words that another document has is matched to the first document that has the whole of it.
+run of ``least_words`` words that another document has is matched to a document that has the whole of it.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog_star.llm.texts import WORD_PATTERN, Texts, map_texts, mixed, text_chunks, windows
-from catalog_star.staging import stage
+from catalog_star.staging import stage, stage_path, stage_scope
 
 
 def minimizers(hashes: np.ndarray, owner_first: np.ndarray, window: int) -> np.ndarray:
@@ -75,9 +76,20 @@ def chain(x: np.ndarray, y: np.ndarray, k: int, gap_cost: float, most_gap: int)
     if n == 1:
         return [np.zeros(1, np.int64)]
     if (np.diff(x) > 0).all() and (np.diff(y) > 0).all():
-        order = np.arange(n)
-        cut = np.flatnonzero((np.diff(x) > most_gap) | (np.diff(y) > most_gap)) + 1
-        return np.split(order, cut)
+        # each match best follows the one before: a way past it costs as much and scores less
+        scores, begins = [float(k)], [0]
+        for i, (dx, dy) in enumerate(zip(np.diff(x).tolist(), np.diff(y).tolist()), 1):
+            gain = scores[-1] - gap_cost * (dx + dy) if max(dx, dy) <= most_gap else 0.0
+            if gain <= 0:
+                begins.append(i)
+            scores.append(k + max(gain, 0.0))
+        chains = []
+        for begin, end in zip(begins, [*begins[1:], n]):
+            while begin < end:  # the best end takes all before it
+                best = begin + int(np.argmax(scores[begin:end]))
+                chains.append(np.arange(begin, best + 1))
+                begin = best + 1
+        return chains
     different, ranks = np.unique(y, return_inverse=True)
     lowest = np.searchsorted(different, y - most_gap).tolist()
     size = len(different)
@@ -208,6 +220,74 @@ def align(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, k: int, si
     return [p for p in pieces if p[4] >= similarity * max(p[1] - p[0], p[3] - p[2])]
 
 
+def linked(rows: DataFrame, items, stretch: int = 2_000_000) -> DataFrame:
+    """Match every item of a text to the same item of the document before: (key, holder, word, other_word).
+
+    ``rows`` has key and text first. ``items`` gives, for some texts and their batch of rows, hash, text and place of each item. Documents that have an item are
+    ordered by key; a place in one of them is matched to the first place in the one before. Documents are first matched within stretches of about so many items.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            row, keys = 0, batch.column(0).to_numpy()
+            for texts in text_chunks(batch.column(1)):
+                hashes, owner, place = items(texts, batch.slice(row, len(texts)))
+                held.append((hashes.view(np.int64), keys[row : row + len(texts)][owner], place.astype(np.int32)))
+                row, count = row + len(texts), count + len(hashes)
+                if count >= stretch:
+                    yield from matched(held)
+                    held, count = [], 0
+        if held:
+            yield from matched(held)
+
+    def matched(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        seed, key, word = _in_order(*(np.concatenate([h[i] for h in held]) for i in range(3)))
+        before = _document_before(seed, key)
+        nothing = np.full(len(seed), -1)
+        first = before < 0
+        for some, holder in ((first, nothing), (~first, before)):
+            at = np.flatnonzero(some)
+            other = holder[at]
+            none = pa.nulls(len(at), pa.int64()) if some is first else pa.array(key[other])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(seed[at]), pa.array(key[at]), pa.array(word[at]), none, pa.nulls(len(at), pa.int32()) if some is first else pa.array(word[other])], names=["seed", "key", "word", "holder", "other_word"]
+            )
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, ["seed"]):
+            seed, key, word = _in_order(*(c.to_numpy() for c in table.columns))
+            before = _document_before(seed, key)
+            at = np.flatnonzero(before >= 0)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[at], key[before[at]], word[at], word[before[at]])], names=["key", "holder", "word", "other_word"])
+
+    found = rows.mapInArrow(read, "seed long, key long, word int, holder long, other_word int")
+    firsts = found.where("holder is null").select("seed", "key", "word")
+    parts = max(1, 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    across = firsts.repartition(parts, "seed").sortWithinPartitions("seed").mapInArrow(meet, "key long, holder long, word int, other_word int")
+    return found.where("holder is not null").select("key", "holder", "word", "other_word").unionByName(across)
+
+
+def _in_order(seed: np.ndarray, key: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Items by seed, document and place, each once."""
+    order = np.lexsort((word, key, seed))
+    seed, key, word = seed[order], key[order], word[order]
+    new = np.ones(len(seed), bool)
+    new[1:] = (seed[1:] != seed[:-1]) | (key[1:] != key[:-1]) | (word[1:] != word[:-1])
+    return seed[new], key[new], word[new]
+
+
+def _document_before(seed: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """For each item in order, the first place of the same item in the document before; -1 in the first document."""
+    if not len(seed):
+        return np.zeros(0, np.int64)
+    same = np.append(False, seed[1:] == seed[:-1])
+    begins = np.flatnonzero(~(same & np.append(False, key[1:] == key[:-1])))  # of a document's items of one seed
+    which = np.cumsum(np.isin(np.arange(len(seed)), begins, assume_unique=True)) - 1
+    found = np.where(same[begins], np.append(0, begins[:-1]), -1)
+    return found[which]
+
+
 def exact_runs(rows: DataFrame, least_words: int) -> DataFrame:
     """Pieces of ``least_words`` equal words or more of a text that one of smaller key has too, over (key, text).
 
@@ -223,58 +303,44 @@ def exact_runs(rows: DataFrame, least_words: int) -> DataFrame:
         hashes, place = windows(texts.word_hashes(), first, half)
         return hashes, place, first
 
-    def find_halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, keys = 0, batch.column(0).to_numpy()
-            for texts in text_chunks(batch.column(1)):
-                hashes, place, first = hashed(texts)
-                picked = minimizers(hashes, np.searchsorted(place, first), rest + 1)
-                owner = np.searchsorted(first, place[picked], "right") - 1
-                word = (place[picked] - first[owner]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[picked].view(np.int64)), pa.array(keys[row : row + len(texts)][owner]), pa.array(word)], names=["seed", "key", "word"])
-                row += len(texts)
+    def halves(texts: Texts, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        hashes, place, first = hashed(texts)
+        picked = minimizers(hashes, np.searchsorted(place, first), rest + 1)
+        owner = np.searchsorted(first, place[picked], "right") - 1
+        return hashes[picked], owner, place[picked] - first[owner]
 
-    def first_holders(seeds: DataFrame) -> DataFrame:
-        least = F.min(F.struct("key", "word")).alias("least")
-        found = seeds.groupBy("seed").agg(least, F.max("key").alias("last")).where("least.key <> last")
-        return found.select("seed", F.col("least.key").alias("holder"), F.col("least.word").alias("other_word"))
-
-    halves = rows.mapInArrow(find_halves, "seed long, key long, word int")
-    marks = halves.join(stage(first_holders(halves), "shared_halves").select("seed"), "seed").groupBy("key").agg(F.sort_array(F.collect_set("word")).alias("marks"))
+    shared = stage(linked(rows, halves), "shared_halves")
+    marks = shared.select("key", "word").unionByName(shared.select(F.col("holder").alias("key"), F.col("other_word").alias("word")))
+    marks = marks.groupBy("key").agg(F.sort_array(F.collect_set("word")).alias("marks"))
     marked = rows.join(stage(marks, "marks"), "key").select("key", "text", "marks")
 
-    def find_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, keys = 0, batch.column(0).to_numpy()
-            for texts in text_chunks(batch.column(1)):
-                hashes, place, first = hashed(texts)
-                at = np.full(len(hashes) and int(place[-1]) + 1, -1)
-                at[place] = np.arange(len(place))
-                some = batch.column(2).slice(row, len(texts))
-                marks = some.flatten().to_numpy() + np.repeat(first[:-1], np.diff(some.offsets.to_numpy()))
-                # runs of which a mark is one of the half-length windows
-                wanted = np.zeros(len(at) + 1, np.int64)
-                np.add.at(wanted, np.maximum(marks - rest, 0), 1)
-                np.add.at(wanted, marks + 1, -1)
-                begin = np.flatnonzero(np.cumsum(wanted[:-1]) > 0)
-                begin = begin[begin + rest < len(at)]
-                owner = np.searchsorted(first, begin, "right") - 1
-                ok = (begin + least_words <= first[owner + 1]) & (at[begin] >= 0)
-                begin, owner = begin[ok], owner[ok]
-                with np.errstate(over="ignore"):
-                    whole = mixed(hashes[at[begin]] * np.uint64(0x9E3779B97F4A7C15) + hashes[at[begin + rest]])
-                yield pa.RecordBatch.from_arrays([pa.array(whole.view(np.int64)), pa.array(keys[row : row + len(texts)][owner]), pa.array((begin - first[owner]).astype(np.int32))], names=["seed", "key", "word"])
-                row += len(texts)
-
-    whole = stage(marked.mapInArrow(find_whole, "seed long, key long, word int"), "whole_runs")
-    met = whole.join(stage(first_holders(whole), "run_holders"), "seed").where("key <> holder").select("key", "holder", "word", "other_word").distinct()
+    def whole(texts: Texts, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        hashes, place, first = hashed(texts)
+        at = np.full(len(hashes) and int(place[-1]) + 1, -1)
+        at[place] = np.arange(len(place))
+        some = batch.column(2)
+        marks = some.flatten().to_numpy() + np.repeat(first[:-1], np.diff(some.offsets.to_numpy()))
+        # runs of which a mark is one of the half-length windows
+        wanted = np.zeros(len(at) + 1, np.int64)
+        np.add.at(wanted, np.maximum(marks - rest, 0), 1)
+        np.add.at(wanted, marks + 1, -1)
+        begin = np.flatnonzero(np.cumsum(wanted[:-1]) > 0)
+        begin = begin[begin + rest < len(at)]
+        owner = np.searchsorted(first, begin, "right") - 1
+        ok = (begin + least_words <= first[owner + 1]) & (at[begin] >= 0)
+        begin, owner = begin[ok], owner[ok]
+        with np.errstate(over="ignore"):
+            value = mixed(hashes[at[begin]] * np.uint64(0x9E3779B97F4A7C15) + hashes[at[begin + rest]])
+        return value, owner, begin - first[owner]
+
+    met = linked(marked, whole)
     parts = max(1, 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches, ["key"]):
             key, holder, word, other = (c.to_numpy() for c in table.columns)
             new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (holder[1:] != holder[:-1]) | (np.diff(word) != 1) | (np.diff(other) != 1)
+            new[1:] = (key[1:] != key[:-1]) | (holder[1:] != holder[:-1]) | (np.diff(word) > 1) | (np.diff(other) != np.diff(word))
             a = np.flatnonzero(new)
             b = np.append(a[1:], len(key)) - 1
             columns = [key[a], holder[a], word[a].astype(np.int64), word[b].astype(np.int64) + least_words, other[a].astype(np.int64), other[b].astype(np.int64) + least_words, np.ones(len(a))]
@@ -310,21 +376,20 @@ def repeated_passages(
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).where("text is not null")
     rows = rows.withColumn("key", F.xxhash64("id", "text"))
 
-    def find_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, keys = 0, batch.column(0).to_numpy()
-            for texts in text_chunks(batch.column(1)):
-                hashes, owner, place = seeds_of(texts, k, window)
-                own = keys[row : row + len(texts)][owner]
-                row += len(texts)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(own), pa.array(place.astype(np.int32))], names=["seed", "key", "word"])
+    target = stage_path(docs.sparkSession, "passages")
+    with stage_scope(docs.sparkSession) as own:
+        pieces = _near_pieces(rows, similarity, k, window, most_gap, gap_cost, block, margin).unionByName(exact_runs(rows, least_words))
+        passages = _passages(pieces, least_words, join_gap, target)
+        own.drop()  # what only the passages were made of
+    names = rows.select("key", "id").distinct()
+    found = passages.join(names, "key").join(names.select(F.col("key").alias("holder"), F.col("id").alias("other_id")), "holder")
+    return found.select(F.col("id").alias(id), "key", "start_word", "end_word", "piece_start", "piece_end", "other_id", "other_start", "other_end", "similarity")
 
-    seeds = rows.select("key", "text").mapInArrow(find_seeds, "seed long, key long, word int")
-    shared = seeds.groupBy("seed").agg(F.min("key").alias("holder"), F.max("key").alias("__last")).where("holder <> __last").drop("__last")
-    met = stage(seeds.join(shared, "seed"), "shared_seeds")
-    held = met.where("key = holder").groupBy("seed").agg(F.min("word").alias("other_word"))
-    links = met.where("key <> holder").join(held, "seed").select("key", "holder", "word", "other_word").distinct()
-    parts = max(1, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+def _near_pieces(rows: DataFrame, similarity: float, k: int, window: int, most_gap: int, gap_cost: float, block: int, margin: int) -> DataFrame:
+    """Aligned pieces of chained seeds: (key, holder, piece_start, piece_end, other_start, other_end, similarity)."""
+    links = linked(rows.select("key", "text"), lambda texts, batch: seeds_of(texts, k, window))
+    parts = max(1, 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     chains_schema = "key long, holder long, words array<int>, other_words array<int>"
 
@@ -399,10 +464,14 @@ def repeated_passages(
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], names=["key", "holder", "piece_start", "piece_end", "other_start", "other_end", "similarity"])
 
-    aligned = both.repartition(parts, "chain").sortWithinPartitions("chain", "side", "block").mapInArrow(
+    return both.repartition(parts, "chain").sortWithinPartitions("chain", "side", "block").mapInArrow(
         find_pieces, "key long, holder long, piece_start long, piece_end long, other_start long, other_end long, similarity double"
     )
 
+
+def _passages(pieces: DataFrame, least_words: int, join_gap: int, target: str) -> DataFrame:
+    """Pieces that make up passages of ``least_words``, with these, staged."""
+
     def find_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches, ["key"]):
             key, start, end = (table.column(n).to_numpy() for n in ("key", "piece_start", "piece_end"))
@@ -422,11 +491,8 @@ def repeated_passages(
 
     kinds = "key long, holder long, piece_start long, piece_end long, other_start long, other_end long, similarity double, start_word long, end_word long"
     order = ["key", "piece_start", "piece_end", "holder", "other_start", "other_end", "similarity"]
-    pieces = aligned.unionByName(exact_runs(rows, least_words))
-    passages = stage(pieces.repartition(parts, "key").sortWithinPartitions(*order).mapInArrow(find_passages, kinds), "passages")
-    names = rows.select("key", "id").distinct()
-    found = passages.join(names, "key").join(names.select(F.col("key").alias("holder"), F.col("id").alias("other_id")), "holder")
-    return found.select(F.col("id").alias(id), "key", "start_word", "end_word", "piece_start", "piece_end", "other_id", "other_start", "other_end", "similarity")
+    parts = max(1, 2 * int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return stage(pieces.repartition(parts, "key").sortWithinPartitions(*order).mapInArrow(find_passages, kinds), "passages", target)
 
 
 def _assembled(blocks: dict[int, tuple], block: int) -> tuple[np.ndarray, int]:
@@ -462,9 +528,9 @@ def without_passages(docs: DataFrame, passages: DataFrame, id: str = "doc_id", t
     A text without passages stays as it is, null included.
     """
     key = F.xxhash64(f"`{id}`", F.col(f"`{text}`").cast("string"))
-    spans = passages.groupBy("key").agg(F.collect_set(F.struct("start_word", "end_word")).alias("__spans"))
-    marked = docs.withColumn("__key", key).join(spans, F.col("__key") == F.col("key"), "left")
+    spans = passages.groupBy(F.col("key").alias("__passage_key")).agg(F.collect_set(F.struct("start_word", "end_word")).alias("__spans"))
+    marked = docs.withColumn("__key", key).join(spans, F.col("__key") == F.col("__passage_key"), "left")
     words = F.regexp_extract_all(F.col(f"`{text}`").cast("string"), F.lit(WORD_PATTERN + r"[\x20\x09-\x0D]*"), F.lit(0))
     kept = F.filter(words, lambda w, i: ~F.exists("__spans", lambda s: (i >= s["start_word"]) & (i < s["end_word"])))
     cut = marked.withColumn(text, F.when(F.col("__spans").isNull(), F.col(f"`{text}`")).otherwise(F.concat_ws("", kept)))
-    return cut.where(f"__spans is null or length(`{text}`) > 0").drop("__key", "__spans", "key")
+    return cut.where(f"__spans is null or length(`{text}`) > 0").drop("__key", "__spans", "__passage_key")

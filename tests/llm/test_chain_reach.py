@@ -31,3 +31,16 @@ def test_a_long_run_does_not_hide_near_matches():
     x, y = np.concatenate([run, [540], after]), np.concatenate([run, [5], after])  # one match out of order
     found = [x[c].tolist() for c in chain(x, y, 5, 0.1, 48)]
     assert after.tolist() in found and run.tolist() in found
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 60), st.integers(1, 60)), min_size=1, max_size=12), st.integers(0, 1))
+def test_an_unrelated_match_changes_no_chain(steps, side):
+    """Rising matches with and without one far away, which makes the tree do the work."""
+    x, y = (np.cumsum([s[i] for s in steps]) for i in (0, 1))
+    alone = {tuple(x[c].tolist()) for c in chain(x, y, 5, 0.1, 48)}
+    far = (10_000, 0) if side else (10_000, 20_000)
+    if side:
+        y = y + 5000
+    more = {tuple(np.append(x, far[0])[c].tolist()) for c in chain(np.append(x, far[0]), np.append(y, far[1]), 5, 0.1, 48)}
+    assert more == alone | {(10_000,)}
