@@ -309,7 +309,7 @@ def exact_runs(rows: DataFrame, least_words: int) -> DataFrame:
         owner = np.searchsorted(first, place[picked], "right") - 1
         return hashes[picked], owner, place[picked] - first[owner]
 
-    shared = stage(linked(rows, halves), "shared_halves")
+    shared = _settled(linked(rows, halves), "shared_halves")
     marks = shared.select("key", "word").unionByName(shared.select(F.col("holder").alias("key"), F.col("other_word").alias("word")))
     marks = marks.groupBy("key").agg(F.sort_array(F.collect_set("word")).alias("marks"))
     marked = rows.join(stage(marks, "marks"), "key").select("key", "text", "marks")
@@ -378,14 +378,22 @@ def repeated_passages(
 
     target = stage_path(docs.sparkSession, "passages")
     with stage_scope(docs.sparkSession) as own:
-        pieces = _near_pieces(rows, similarity, k, window, most_gap, gap_cost, block, margin).unionByName(exact_runs(rows, least_words))
-        passages = _passages(pieces, least_words, join_gap, target)
+        exact = _settled(exact_runs(rows, least_words), "exact_pieces")
+        near = _near_pieces(rows, similarity, k, window, most_gap, gap_cost, block, margin)
+        passages = _passages(near.unionByName(exact), least_words, join_gap, target)
         own.drop()  # what only the passages were made of
     names = rows.select("key", "id").distinct()
     found = passages.join(names, "key").join(names.select(F.col("key").alias("holder"), F.col("id").alias("other_id")), "holder")
     return found.select(F.col("id").alias(id), "key", "start_word", "end_word", "piece_start", "piece_end", "other_id", "other_start", "other_end", "similarity")
 
 
+def _settled(df: DataFrame, label: str) -> DataFrame:
+    """``df``, staged. The shuffles behind it are garbage then; Spark deletes their files once the driver's JVM has collected what refers to them."""
+    staged = stage(df, label)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return staged
+
+
 def _near_pieces(rows: DataFrame, similarity: float, k: int, window: int, most_gap: int, gap_cost: float, block: int, margin: int) -> DataFrame:
     """Aligned pieces of chained seeds: (key, holder, piece_start, piece_end, other_start, other_end, similarity)."""
     links = linked(rows.select("key", "text"), lambda texts, batch: seeds_of(texts, k, window))
@@ -411,7 +419,7 @@ def _near_pieces(rows: DataFrame, similarity: float, k: int, window: int, most_g
                 yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())))], names=["key", "holder", "words", "other_words"])
 
     dealt = links.repartition(parts, "key").sortWithinPartitions("key", "holder", "word", "other_word")
-    chains = stage(dealt.mapInArrow(find_chains, chains_schema), "chains").withColumn("chain", F.xxhash64("key", "holder", "words", "other_words"))
+    chains = _settled(dealt.mapInArrow(find_chains, chains_schema), "chains").withColumn("chain", F.xxhash64("key", "holder", "words", "other_words"))
 
     # the blocks of words that chains touch, on either side
     def sides(key: str, words: str, side: int) -> DataFrame:
