@@ -379,7 +379,7 @@ def repeated_passages(
     target = stage_path(docs.sparkSession, "passages")
     with stage_scope(docs.sparkSession) as own:
         exact = _settled(exact_runs(rows, least_words), "exact_pieces")
-        near = _near_pieces(rows, similarity, k, window, most_gap, gap_cost, block, margin)
+        near = _near_pieces(rows, exact, similarity, k, window, most_gap, gap_cost, block, margin)
         passages = _passages(near.unionByName(exact), least_words, join_gap, target)
         own.drop()  # what only the passages were made of
     names = rows.select("key", "id").distinct()
@@ -394,16 +394,36 @@ def _settled(df: DataFrame, label: str) -> DataFrame:
     return staged
 
 
-def _near_pieces(rows: DataFrame, similarity: float, k: int, window: int, most_gap: int, gap_cost: float, block: int, margin: int) -> DataFrame:
-    """Aligned pieces of chained seeds: (key, holder, piece_start, piece_end, other_start, other_end, similarity)."""
-    links = linked(rows.select("key", "text"), lambda texts, batch: seeds_of(texts, k, window))
+def _covered(key: np.ndarray, start: np.ndarray, end: np.ndarray, at_key: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Which places ``at`` to ``at + size`` of texts lie within one of the pieces, which are sorted by text and start."""
+    group = np.unique(np.concatenate([key, at_key]), return_inverse=True)[1].astype(np.int64) << 32
+    own, asked = group[: len(key)], group[len(key) :] + at
+    if not len(key):
+        return np.zeros(len(at), bool)
+    last = np.searchsorted(own + start, asked, "right") - 1
+    return (last >= 0) & (np.maximum.accumulate(own + end)[np.maximum(last, 0)] >= asked + size)
+
+
+def _near_pieces(rows: DataFrame, exact: DataFrame, similarity: float, k: int, window: int, most_gap: int, gap_cost: float, block: int, margin: int) -> DataFrame:
+    """Aligned pieces of chained seeds: (key, holder, piece_start, piece_end, other_start, other_end, similarity).
+
+    Seeds within a piece that is known to be ``exact`` would find it once more and are left out.
+    """
+    links = linked(rows.select("key", "text"), lambda texts, batch: seeds_of(texts, k, window)).withColumn("kind", F.lit(1))
+    whole = exact.select("key", F.lit(0).cast("long").alias("holder"), F.col("piece_start").cast("int").alias("word"), F.col("piece_end").cast("int").alias("other_word"), F.lit(0).alias("kind"))
     parts = max(1, 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     chains_schema = "key long, holder long, words array<int>, other_words array<int>"
 
     def find_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches, ["key"]):
-            key, holder, word, other = (c.to_numpy() for c in table.columns)
+            key, holder, word, other, kind = (c.to_numpy() for c in table.select(["key", "holder", "word", "other_word", "kind"]).columns)
+            known, seeds = kind == 0, kind == 1
+            order = np.lexsort((word[known], key[known]))
+            seeds[seeds] = ~_covered(key[known][order], word[known][order], other[known][order], key[seeds], word[seeds], k)
+            key, holder, word, other = key[seeds], holder[seeds], word[seeds], other[seeds]
+            if not len(key):
+                continue
             cuts = np.append(np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (holder[1:] != holder[:-1]))), len(key))
             order = np.lexsort((word, key))
             near = (key[order][1:] == key[order][:-1]) & (np.diff(word[order]) <= 2 * window)
@@ -418,7 +438,7 @@ def _near_pieces(rows: DataFrame, similarity: float, k: int, window: int, most_g
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())))], names=["key", "holder", "words", "other_words"])
 
-    dealt = links.repartition(parts, "key").sortWithinPartitions("key", "holder", "word", "other_word")
+    dealt = links.unionByName(whole).repartition(parts, "key").sortWithinPartitions("key", "holder", "word", "other_word")
     chains = _settled(dealt.mapInArrow(find_chains, chains_schema), "chains").withColumn("chain", F.xxhash64("key", "holder", "words", "other_words"))
 
     # the blocks of words that chains touch, on either side
