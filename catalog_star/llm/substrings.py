@@ -220,11 +220,12 @@ def align(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, k: int, si
     return [p for p in pieces if p[4] >= similarity * max(p[1] - p[0], p[3] - p[2])]
 
 
-def linked(rows: DataFrame, items, stretch: int = 2_000_000) -> DataFrame:
+def linked(rows: DataFrame, items, stretch: int = 2_000_000, keep: bool = False) -> DataFrame:
     """Match every item of a text to the same item of the document before: (key, holder, word, other_word).
 
     ``rows`` has key and text first. ``items`` gives, for some texts and their batch of rows, hash, text and place of each item. Documents that have an item are
-    ordered by key; a place in one of them is matched to the first place in the one before. Documents are first matched within stretches of about so many items.
+    ordered by key; a place in one of them is matched to the first place in the one before. Documents are first matched within stretches of about so many items. Items are made twice, or else
+    staged, with ``keep``.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,12 +257,16 @@ def linked(rows: DataFrame, items, stretch: int = 2_000_000) -> DataFrame:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches, ["seed"]):
-            seed, key, word = _in_order(*(c.to_numpy() for c in table.columns))
+            seed, key, word = (c.to_numpy() for c in table.columns)
+            several = _repeated(seed)
+            seed, key, word = _in_order(seed[several], key[several], word[several])
             before = _document_before(seed, key)
             at = np.flatnonzero(before >= 0)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[at], key[before[at]], word[at], word[before[at]])], names=["key", "holder", "word", "other_word"])
 
     found = rows.mapInArrow(read, "seed long, key long, word int, holder long, other_word int")
+    if keep:
+        found = _settled(found, "items")
     firsts = found.where("holder is null").select("seed", "key", "word")
     parts = max(1, 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     across = firsts.repartition(parts, "seed").sortWithinPartitions("seed").mapInArrow(meet, "key long, holder long, word int, other_word int")
@@ -270,20 +275,29 @@ def linked(rows: DataFrame, items, stretch: int = 2_000_000) -> DataFrame:
 
 def _in_order(seed: np.ndarray, key: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Items by seed, document and place, each once."""
-    order = np.lexsort((word, key, seed))
+    order = np.arange(len(seed)) if (seed[1:] >= seed[:-1]).all() else np.argsort(seed, kind="stable")
     seed, key, word = seed[order], key[order], word[order]
+    several = np.flatnonzero(_repeated(seed))  # few: only these need be put in order
+    inner = several[np.lexsort((word[several], key[several], seed[several]))]
+    key[several], word[several] = key[inner], word[inner]
     new = np.ones(len(seed), bool)
     new[1:] = (seed[1:] != seed[:-1]) | (key[1:] != key[:-1]) | (word[1:] != word[:-1])
     return seed[new], key[new], word[new]
 
 
+def _repeated(seed: np.ndarray) -> np.ndarray:
+    """Which of some sorted numbers occur more than once."""
+    same = seed[1:] == seed[:-1]
+    return np.append(False, same) | np.append(same, False) if len(seed) else np.zeros(0, bool)
+
+
 def _document_before(seed: np.ndarray, key: np.ndarray) -> np.ndarray:
     """For each item in order, the first place of the same item in the document before; -1 in the first document."""
     if not len(seed):
         return np.zeros(0, np.int64)
     same = np.append(False, seed[1:] == seed[:-1])
     begins = np.flatnonzero(~(same & np.append(False, key[1:] == key[:-1])))  # of a document's items of one seed
-    which = np.cumsum(np.isin(np.arange(len(seed)), begins, assume_unique=True)) - 1
+    which = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(seed))))
     found = np.where(same[begins], np.append(0, begins[:-1]), -1)
     return found[which]
 
@@ -309,7 +323,7 @@ def exact_runs(rows: DataFrame, least_words: int) -> DataFrame:
         owner = np.searchsorted(first, place[picked], "right") - 1
         return hashes[picked], owner, place[picked] - first[owner]
 
-    shared = _settled(linked(rows, halves), "shared_halves")
+    shared = _settled(linked(rows, halves, keep=True), "shared_halves")
     marks = shared.select("key", "word").unionByName(shared.select(F.col("holder").alias("key"), F.col("other_word").alias("word")))
     marks = marks.groupBy("key").agg(F.sort_array(F.collect_set("word")).alias("marks"))
     marked = rows.join(stage(marks, "marks"), "key").select("key", "text", "marks")
