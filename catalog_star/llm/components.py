@@ -20,9 +20,10 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     edges, before = stage(edges, "edges"), None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stage(large, "large")
+        least = stage(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         tied = large.join(least, "u")
         small = tied.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(tied.select("u", F.col("m").alias("v")))
         edges = stage(small.distinct(), "edges")

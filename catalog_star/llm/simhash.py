@@ -230,15 +230,36 @@ def simhash_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", shin
     joins its group, whose component_id is null only if all its ids are. Other columns are not read; an empty table gives an empty result.
     """
 
-    def compute(texts: Texts) -> dict:
-        return {"__value": fingerprints_of(texts, shingle).view(np.int64)}
-
-    marked = stage(map_texts(docs, text, {"__id": id}, {"__value": "long"}, compute), "simhash")
+    marked = stage(map_texts(docs, text, {"__id": id}, {"__value": "long"}, _fingerprints(shingle)), "simhash")
     nodes = marked.groupBy("__value").agg(F.min("__id").alias("__least"))
-    links = near_links(nodes, "__value", radius)
-    tied = components(links, "a", "b")
-    named = nodes.join(tied, nodes["__value"] == tied["node"], "left").select("__value", "__least", F.coalesce("component", "__value").alias("__component"))
-    named = stage(named, "simhash_nodes")
+    named = _components_of(nodes, radius)
     least = named.groupBy("__component").agg(F.min("__least").alias("component_id"))
-    by_value = named.join(least, "__component").select("__value", "component_id")
+    by_value = stage(named.join(least, "__component").select("__value", "component_id"), "simhash_groups")
     return marked.join(by_value, "__value").select(F.col("__id").alias(id), F.lower(F.lpad(F.hex("__value"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _fingerprints(shingle: int):
+    return lambda texts: {"__value": fingerprints_of(texts, shingle).view(np.int64)}
+
+
+def _components_of(nodes: DataFrame, radius: int) -> DataFrame:
+    """``nodes`` (fingerprints ``__value`` and what goes with them) with the component of each, staged."""
+    tied = components(near_links(nodes, "__value", radius), "a", "b")
+    named = nodes.join(tied, nodes["__value"] == tied["node"], "left")
+    return stage(named.select(*nodes.columns, F.coalesce("component", "__value").alias("__component")), "simhash_nodes")
+
+
+def first_of_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
+    """One row of each group that ``simhash_groups`` finds: that of the smallest id, of equal ids any one; a null id only where there is no other.
+
+    All texts without words are one group. Other columns are kept as they are, and may have any names but those that begin with two underscores. An empty
+    table gives an empty result.
+    """
+    names = {f"__c{i}": c for i, c in enumerate(docs.columns)}
+    made = map_texts(docs, text, names, {"__value": "long"}, _fingerprints(shingle))
+    marked = stage(made.withColumn("__row", F.monotonically_increasing_id()), "simhash_rows")
+    own = next(new for new, old in names.items() if old == id)
+    rank = F.struct(F.col(own).isNull().alias("none"), F.col(own).alias("id"), F.col("__row").alias("row"))
+    named = _components_of(marked.groupBy("__value").agg(F.min(rank).alias("__least")), radius)
+    kept = stage(named.groupBy("__component").agg(F.min("__least").alias("first")).select(F.col("first.row").alias("__kept")), "simhash_first")
+    return marked.join(kept, F.col("__row") == F.col("__kept"), "left_semi").select(*[F.col(new).alias(old) for new, old in names.items()])

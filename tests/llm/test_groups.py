@@ -135,3 +135,21 @@ def test_repeated_and_nameless_vectors(spark):
     found = sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"]), r["kept"]) for r in embeddings.near_vectors(frame).collect())
     assert found == [("1", 2, "1", True), ("1", 2, "1", True), ("5", 0, "5", True), ("None", 0, "None", True), ("None", 2, "1", False)]
     assert embeddings.near_vectors(frame.where("false")).collect() == []
+
+
+def test_one_row_of_each_group_stays(odd_rows, no_rows):
+    base = prose(3, 400).split()
+    near = odd_rows.sparkSession.createDataFrame([(100 + i, " ".join(base) + " " * i, "z") for i in range(4)], "doc_id long, text string, score string")
+    docs = odd_rows.unionByName(near, allowMissingColumns=True)
+    kept = simhash.first_of_groups(docs)
+    assert kept.columns == docs.columns
+    rows = docs.collect()
+    prints = [brute_fingerprint(r["text"]) for r in rows]
+    label = brute_roots(len(rows), [(i, j) for i, j in combinations(range(len(rows)), 2) if (prints[i] ^ prints[j]).bit_count() <= 3])
+    groups = {}
+    for r, k in zip(rows, label):
+        groups.setdefault(k, []).append(r)
+    wanted = sorted(min((r["doc_id"] is None, r["doc_id"] or 0) for r in own) for own in groups.values())
+    found = kept.collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in found) == wanted
+    assert all(r in rows for r in found) and simhash.first_of_groups(no_rows).collect() == []

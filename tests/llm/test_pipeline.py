@@ -18,7 +18,7 @@ def test_query_agrees_with_sql(spark, name):
 
 
 def test_registered():
-    assert [sum(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 14)] == [1] * 13
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(SQL) <= set(oracle_sql())
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
