@@ -52,7 +52,8 @@ class Star:
     """The dimension and fact tables (staged), and the natural keys behind the surrogate ones.
 
     ``key_maps`` has a table per dimension and one for the fact; stored next to the tables, they
-    let a later load give every row it has seen the key it had.
+    let a later load give every row it has seen the key it had. ``summary`` stands for the fact where only counts and sums by
+    artist and genre are asked for; several rows may tell of one pair.
     """
 
     dimensions: dict[str, DataFrame]
@@ -62,6 +63,7 @@ class Star:
     fact_key: str = ""
     references: tuple[str, ...] = ()
     flat: DataFrame | None = None
+    summary: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         """Dimensions first, so that a load in this order never breaks a reference."""

@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from catalog_star import schemas as s
 from catalog_star.functions import values
 from catalog_star.operators.star import Star
 
 
+SUMMED = ("popularity", *s.AUDIO_FEATURES)
+
+
+def summarize_streams(fact: DataFrame) -> DataFrame:
+    """Streams by genre and artist: their number, and sum and number of every measure. Rows of several loads add up."""
+    sums = [F.sum(F.col(m).cast("double")).alias(f"s_{m}") for m in SUMMED] + [F.count(m).alias(f"n_{m}") for m in SUMMED]
+    return fact.groupBy("genre_key", "artist_key").agg(F.count(F.lit(1)).alias("streams"), *sums)
+
+
 def total_tracks(star: Star) -> DataFrame:
     return star.dimensions["dim_track"].agg(F.count(F.lit(1)).alias("tracks"))
 
@@ -21,10 +31,11 @@ def genres_by_winning_artists(star: Star, k: int | None = None) -> DataFrame:
     """Distinct award-winning artists per genre, most first.
 
     Facts are reduced to distinct (genre, artist) keys before any name is joined, so
-    the joins see a small table and a dominant genre is spread over its artists.
+    the joins see a small table and a dominant genre is spread over its artists. A summary of the facts spares reading them.
     """
     winners = star.dimensions["dim_artist"].where("grammy_winner").select("artist_key")
-    pairs = star.fact.select("genre_key", "artist_key").distinct()
+    facts = star.fact if star.summary is None else star.summary
+    pairs = facts.select("genre_key", "artist_key").distinct()
     counted = (
         pairs.join(winners, "artist_key", "left_semi")
         .groupBy("genre_key")
@@ -40,10 +51,14 @@ def averages_by_award(star: Star, measures: list[str], digits: int = 6) -> DataF
     """Mean of each measure for award-winning artists' tracks and for the rest.
 
     Facts are first summed per artist, which needs one shuffle of partial sums and
-    leaves one row per artist to join with the artist dimension.
+    leaves one row per artist to join with the artist dimension. A summary of the facts spares reading them.
     """
-    sums = [F.sum(m).alias(f"_s_{m}") for m in measures] + [F.count(m).alias(f"_n_{m}") for m in measures]
-    per_artist = star.fact.groupBy("artist_key").agg(F.count(F.lit(1)).alias("_rows"), *sums)
+    if star.summary is None:
+        sums = [F.sum(m).alias(f"_s_{m}") for m in measures] + [F.count(m).alias(f"_n_{m}") for m in measures]
+        per_artist = star.fact.groupBy("artist_key").agg(F.count(F.lit(1)).alias("_rows"), *sums)
+    else:
+        sums = [F.sum(f"{x}_{m}").alias(f"_{x}_{m}") for x in "sn" for m in measures]
+        per_artist = star.summary.groupBy("artist_key").agg(F.sum("streams").alias("_rows"), *sums)
     flags = star.dimensions["dim_artist"].select("artist_key", "grammy_winner")
     means = [
         values.round_half_even(F.sum(f"_s_{m}") / F.sum(f"_n_{m}"), digits).alias(f"avg_{m}") for m in measures

@@ -525,6 +525,33 @@ def kpi_features(spark, folder):
     return kpis.audio_profile(catalogue(spark, folder).star())
 
 
+_KEPT_MEANS = ["popularity", "danceability", "energy", "valence", "acousticness"]
+
+
+@query(
+    c.over(
+        "fact_streams",
+        "select 'winners' as figure, track_genre as of, count(distinct artist_key)::double as value from fact_streams join dim_artist using (artist_key)"
+        " join dim_genre using (genre_key) where grammy_winner group by track_genre union all "
+        + " union all ".join(
+            f"select '{m}', grammy_winner::varchar, {c.rounded(f'avg({m})', 6)} from fact_streams join dim_artist using (artist_key) group by grammy_winner" for m in _KEPT_MEANS
+        ),
+    )
+)
+def kept_key_figures(spark, folder):
+    """Key figures after three loads, from counts and sums that each load has added for its own rows."""
+    house = VersionedWarehouse(spark, stage_path(spark, "kept"))
+    tracks, awards = catalogue(spark, folder).tracks_raw(), awards_raw(spark, folder)
+    for rows in (tracks.where("popularity > 40"), tracks.where("popularity > 20"), tracks):
+        etl.run(rows, awards, house).drop_stages()
+    star = house.snapshot().star()
+    winners = kpis.genres_by_winning_artists(star).select(F.lit("winners").alias("figure"), F.col("track_genre").alias("of"), F.col("winning_artists").cast("double").alias("value"))
+    means = kpis.averages_by_award(star, _KEPT_MEANS)
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("figure"), F.col(f"avg_{m}").alias("value")) for m in _KEPT_MEANS]))
+    means = means.select(F.col("grammy_winner").cast("string").alias("of"), each.alias("x")).select("x.figure", "of", "x.value")
+    return winners.unionByName(means)
+
+
 # --- profiles ----------------------------------------------------------------------------
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
