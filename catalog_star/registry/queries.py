@@ -758,7 +758,7 @@ def _mixed_files(spark, folder) -> str:
     for name, rows, encoding in (
         ("a", flat.where("lang = 'fr'").repartition(3, "doc_id"), "ISO-8859-1"),
         ("b", docs.where("lang = 'de'").repartition(2, "doc_id"), "UTF-8"),
-        ("c", flat.where("lang not in ('fr', 'de')").select("source", "n_chars", "lang", "text", "doc_id").repartition(4, "doc_id"), "UTF-8"),
+        ("c", flat.where("coalesce(lang, '') not in ('fr', 'de')").select("source", "n_chars", "lang", "text", "doc_id").repartition(4, "doc_id"), "UTF-8"),
     ):
         write_csv(rows, f"{path}/{name}", encoding=encoding)
     return f"{path}/*"
