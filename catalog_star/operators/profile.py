@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from catalog_star.functions import values
 from catalog_star.operators.quantiles import exact_quantiles
+from catalog_star.staging import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -67,6 +68,32 @@ def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
     return value_counts(df, column).orderBy(F.desc("n"), F.asc(column)).limit(k)
 
 
+def frequent_values(df: DataFrame, column: str, k: int, slots: int = 65_536) -> DataFrame:
+    """``top_values`` without a shuffle of all distinct values where some values stand out.
+
+    Values are hashed to ``slots``, and the rows of a slot bound the count of any value in it. The values of the fullest slots are counted
+    exactly; the ``k``-th count among them bounds the result from below, so no value of a slot with fewer rows belongs to it. Any other
+    slot with as many rows is counted too, which makes the result exact whatever the data. On a flat column that is every slot,
+    and the cost is that of ``top_values`` and two scans more. At most ``slots`` numbers are ever held or broadcast.
+    """
+    values_ = df.select(column).where(F.col(column).isNotNull())
+    slotted = values_.withColumn("_slot", F.pmod(F.xxhash64(column), F.lit(slots)).cast("int"))
+    sizes = stage(slotted.groupBy("_slot").agg(F.count(F.lit(1)).alias("_rows")), "slot_sizes")
+
+    def counted(chosen: DataFrame) -> DataFrame:
+        # At most ``slots`` rows, so they may be broadcast.
+        kept = slotted.join(F.broadcast(chosen.select("_slot")), "_slot", "left_semi")
+        return kept.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+
+    fullest = sizes.orderBy(F.desc("_rows"), "_slot").limit(2 * k)
+    first = stage(counted(fullest).orderBy(F.desc("n"), F.asc(column)).limit(k), "slot_candidates")
+    found, least = first.agg(F.count(F.lit(1)), F.min("n")).first()
+    chosen = sizes.where(F.col("_rows") >= (least if found == k else 0))
+    if chosen.join(fullest, "_slot", "left_anti").isEmpty():
+        return first.orderBy(F.desc("n"), F.asc(column))
+    return counted(chosen).orderBy(F.desc("n"), F.asc(column)).limit(k)
+
+
 def counts_by_value(df: DataFrame, column: str) -> DataFrame:
     """Frequencies ordered by value."""
     return value_counts(df, column).orderBy(column)
@@ -152,6 +179,62 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.select(F.inline(F.array(*cells)))
 
 
+#: Fields of the co-moments of a pair: rows in which both have a value, their means, sums of squared deviations and of products.
+MOMENTS = ("n", "mean_x", "mean_y", "sxx", "syy", "sxy")
+
+
+def comoments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """What correlations of a part of a table add up from: a row per pair of columns, whatever the rows. One scan; no values give n = 0."""
+    columns = list(columns)
+    clean = {c: values.ignore_nan(F.col(c).cast("double")) for c in columns}
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    functions = (F.regr_count, F.regr_avgx, F.regr_avgy, F.regr_sxx, F.regr_syy, F.regr_sxy)
+    row = df.agg(*[f(clean[b], clean[a]).alias(f"_{i}_{m}") for i, (a, b) in enumerate(pairs) for m, f in zip(MOMENTS, functions)])
+    cells = [
+        F.struct(F.lit(a).alias("column"), F.lit(b).alias("other"), *[F.col(f"_{i}_{m}").alias(m) for m in MOMENTS]) for i, (a, b) in enumerate(pairs)
+    ]
+    return row.select(F.inline(F.array(*cells)))
+
+
+def merged_comoments(parts: DataFrame) -> DataFrame:
+    """Co-moments of the union of parts: within parts, and of the parts' means around the common ones.
+
+    Deviations are taken from means, never from zero, so large values with little spread lose nothing. Parts may come
+    in any number and order, and be merged before.
+    """
+    held = parts.where("n > 0")
+    common = held.groupBy("column", "other").agg(
+        F.sum("n").alias("_n"),
+        F.min("mean_x").alias("_x"),
+        F.min("mean_y").alias("_y"),
+    )
+    # Means around one of the parts' means: their sum has no large terms that cancel.
+    away = held.join(common, ["column", "other"]).withColumns({"_dx": F.col("mean_x") - F.col("_x"), "_dy": F.col("mean_y") - F.col("_y")})
+    mean = {d: F.sum(F.col("n") * F.col(d)) / F.sum("n") for d in ("_dx", "_dy")}
+
+    def spread(inside: str, a: str, b: str) -> Column:
+        return F.sum(inside) + F.sum(F.col("n") * F.col(a) * F.col(b)) - F.sum("n") * mean[a] * mean[b]
+
+    return away.groupBy("column", "other").agg(
+        F.sum("n").alias("n"),
+        (F.first("_x") + mean["_dx"]).alias("mean_x"),
+        (F.first("_y") + mean["_dy"]).alias("mean_y"),
+        spread("sxx", "_dx", "_dx").alias("sxx"),
+        spread("syy", "_dy", "_dy").alias("syy"),
+        spread("sxy", "_dx", "_dy").alias("sxy"),
+    )
+
+
+def correlations_of(moments: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The matrix that ``correlations`` gives, from co-moments kept of all parts of a table. A constant column correlates with nothing: null."""
+    one = merged_comoments(moments).withColumn("_r", F.try_divide(F.col("sxy"), F.sqrt("sxx") * F.sqrt("syy")))
+    both = one.select("column", "other", "_r").unionByName(
+        one.where("column != other").select(F.col("other").alias("column"), F.col("column").alias("other"), "_r")
+    )
+    frame = moments.sparkSession.createDataFrame([(a, b) for a in columns for b in columns], "column string, other string")
+    return frame.join(both, ["column", "other"], "left").withColumnRenamed("_r", "correlation")
+
+
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
     """Equal-width bins per column, the last one closed, empty ones included.
 

@@ -16,6 +16,7 @@ from catalog_star.operators.keys import extend_keys, number_rows
 from catalog_star.plans import etl, kpis
 from catalog_star.registry import comparison as c
 from catalog_star.registry.roles import awards_raw, catalogue, table
+from catalog_star.sinks.deliveries import DeliveredTable
 from catalog_star.sinks.files import export_tables, write_csv
 from catalog_star.sinks.versions import VersionedWarehouse
 from catalog_star.sinks.warehouse import FolderWarehouse, counts_frame, insert_ignore, load_star, stored_star, unseen_rows
@@ -168,6 +169,36 @@ def duplicate_report(spark, folder):
     return dedup.duplicate_counts(table(spark, folder, "documents"), ["text"])
 
 
+def _delivered(spark, folder) -> DeliveredTable:
+    """All line items by three deliveries of unlike size, reduced to columns whose rows repeat within and across deliveries."""
+    lines = table(spark, folder, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("place"), "l_suppkey", "l_quantity", "l_returnflag",
+        values.null_if(F.col("l_linestatus"), "F").alias("l_linestatus"),
+    )
+    delivered = DeliveredTable(VersionedWarehouse(spark, stage_path(spark, "delivered"), buckets=64), "lines", "place")
+    for label, share in (("first", "place % 10 > 2"), ("second", "place % 10 = 2"), ("third", "place % 10 < 2")):
+        delivered.deliver(lines.where(share), label)
+    return delivered
+
+
+_LINES = """select l_suppkey, l_quantity, l_returnflag, case when l_linestatus <> 'F' then l_linestatus end as l_linestatus, count(*) as n
+    from lineitem group by all"""
+
+
+@query(f"select l_suppkey, l_quantity, l_returnflag, l_linestatus from ({_LINES})")
+def distinct_deliveries(spark, folder):
+    """Distinct rows over three deliveries, each compared with the digests of those before."""
+    return _delivered(spark, folder).distinct_rows().drop("place")
+
+
+@query(
+    f"""select cast(sum(n - 1) as bigint) as repeats, cast(coalesce(sum(n) filter (n > 1), 0) as bigint) as members from ({_LINES})"""
+)
+def delivery_report(spark, folder):
+    """Repeats over three deliveries, added up from one row of figures each."""
+    return _delivered(spark, folder).duplicate_counts()
+
+
 @query(
     """select text, doc_id, lang from documents qualify count(*) over (partition by text) > 1
        order by text, doc_id limit 15"""
@@ -599,6 +630,23 @@ def value_counts_top(spark, folder):
     return profile.top_values(table(spark, folder, "orders"), "o_custkey", 20)
 
 
+@query("select l_partkey, count(*) as n from lineitem group by l_partkey order by n desc, l_partkey limit 20")
+def frequent_values(spark, folder):
+    """The most frequent values by bounds of hash slots and an exact count of what may reach the top."""
+    return profile.frequent_values(table(spark, folder, "lineitem"), "l_partkey", 20)
+
+
+@query(
+    """select event_type || ' ' || coalesce(user_id % 97, -1) as label, count(*) as n from events where event_type is not null
+       group by label order by n desc, label limit 5"""
+)
+def frequent_labels(spark, folder):
+    """The same on texts."""
+    user = F.coalesce(F.col("user_id") % 97, F.lit(-1))
+    events = table(spark, folder, "events").select(F.concat("event_type", F.lit(" "), user).alias("label"))
+    return profile.frequent_values(events, "label", 5, slots=4096)
+
+
 @query(
     f"""select l_returnflag, count(*) as n,
         {c.rounded('count(*)::double / (select count(l_returnflag) from lineitem)::double * 100', 2)} as share_pct
@@ -657,6 +705,22 @@ def corr_matrix(spark, folder):
     return found.withColumn("correlation", values.round_half_even(F.col("correlation"), 9))
 
 
+@query(
+    " union all ".join(
+        f"""select '{a}' as "column", '{b}' as other, {c.rounded(f'corr({a}, {b})', 9)} as correlation from lineitem"""
+        for a in MEASURES
+        for b in MEASURES
+    )
+)
+def kept_correlations(spark, folder):
+    """The same from co-moments that deliveries of unlike size left behind."""
+    lines, path = table(spark, folder, "lineitem"), stage_path(spark, "moments")
+    for share in ("l_linenumber > 2", "l_linenumber = 2", "l_linenumber < 2", "l_linenumber is null"):
+        profile.comoments(lines.where(share), MEASURES).write.mode("append").parquet(path)
+    found = profile.correlations_of(spark.read.parquet(path), MEASURES)
+    return found.withColumn("correlation", values.round_half_even(F.col("correlation"), 9))
+
+
 def _histogram_sql(column: str, source: str) -> str:
     width = "((hi - lo) / 50::double)"
     return f"""

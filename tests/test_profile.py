@@ -131,3 +131,49 @@ def test_quality_reports(spark):
     assert found == [("a", 3), ("b", 7), ("b", None)]
     with pytest.raises(quality.QualityError):
         quality.require_columns(facts, ["a", "z"], "facts")
+
+
+@pytest.mark.parametrize("slots", [1, 7, 4096])
+def test_frequent_values_are_exact(spark, slots):
+    flat = [str(i) for i in range(300)]
+    skewed = ["hot"] * 200 + ["warm"] * 50 + [v for v in flat for _ in range(1 + int(v) % 3)] + [None] * 400
+    for found in (flat, skewed, ["one"] * 9, [], [None]):
+        df = spark.createDataFrame([(v,) for v in found], "v string")
+        for k in (1, 5, 20):
+            assert profile.frequent_values(df, "v", k, slots).collect() == profile.top_values(df, "v", k).collect()
+
+
+def test_frequent_values_of_a_skewed_column_shuffle_few(spark):
+    df = spark.range(200_000).select(F.when(F.col("id") % 3 == 0, F.col("id") % 6).otherwise(F.col("id")).alias("v"))
+    found = profile.frequent_values(df, "v", 2, slots=4096)
+    assert [tuple(r) for r in found.collect()] == [(0, 33334), (3, 33334 - 1)]
+    assert "Exchange hashpartitioning(v" not in found._jdf.queryExecution().executedPlan().toString()  # proven by the candidates
+
+
+def test_comoments_of_parts_equal_the_whole(spark):
+    rng = np.random.default_rng(4)
+    x = 1e9 + rng.normal(size=600)
+    y = 0.3 * (x - 1e9) + rng.normal(size=600)
+    rows = [(i, float(a), None if i % 7 == 0 else float(b), 5.0, float("nan") if i % 11 == 0 else float(a - b)) for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "i long, x double, y double, flat double, z double")
+    columns = ["x", "y", "flat", "z"]
+    parts = profile.comoments(df.where("i < 10"), columns)
+    for share in ("i between 10 and 10", "i between 11 and 400", "i > 400", "i < 0"):
+        parts = parts.unionByName(profile.comoments(df.where(share), columns))
+    as_dict = lambda m: {(r["column"], r["other"]): r["correlation"] for r in m.collect()}
+    got, merged_twice = as_dict(profile.correlations_of(parts, columns)), as_dict(profile.correlations_of(profile.merged_comoments(parts), columns))
+    frame = pd.DataFrame([r[1:] for r in rows], columns=columns).astype(float)
+    frame[["x", "z"]] -= [1e9, 1e9]  # the comparison itself must not lose digits
+    want = frame.corr()
+    assert len(got) == 16
+    for (a, b), r in got.items():
+        if "flat" in (a, b):
+            assert r is None and merged_twice[a, b] is None
+        else:
+            assert r == pytest.approx(want.loc[a, b], abs=1e-6) and merged_twice[a, b] == pytest.approx(r, abs=1e-9)
+
+
+def test_comoments_of_nothing(spark):
+    nothing = spark.createDataFrame([], "x double, y double")
+    found = profile.correlations_of(profile.comoments(nothing, ["x", "y"]), ["x", "y"])
+    assert [r["correlation"] for r in found.collect()] == [None] * 4
