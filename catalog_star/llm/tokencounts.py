@@ -13,6 +13,7 @@ character that is no piece falls back to its UTF-8 bytes, each with the score of
 from __future__ import annotations
 
 import math
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -62,11 +63,15 @@ class Node:
 
 
 class PretokenTrie:
-    """Distinct pre-tokens with forward scores at their nodes; restarted when it has ``most_nodes``."""
+    """Distinct pre-tokens with forward scores at their nodes; restarted when it has ``most_nodes``.
 
-    def __init__(self, pieces: Pieces, most_nodes: int):
+    What lies deeper than ``most_depth`` hardly any pre-tokens share: from there on scores are carried along without nodes.
+    """
+
+    def __init__(self, pieces: Pieces, most_nodes: int, most_depth: int = 64):
         self.pieces = pieces
         self.most_nodes = most_nodes
+        self.most_depth = most_depth
         self.clear()
 
     def clear(self) -> None:
@@ -78,14 +83,25 @@ class PretokenTrie:
         if self.size > self.most_nodes:
             self.clear()
         node = self.root
-        for character in pretoken:
+        for character in pretoken[: self.most_depth]:
             node = node.child.get(character) or self._grow(node, character)
+        if len(pretoken) > self.most_depth:
+            prefix = node.score, node.count, node.open
+            for character in islice(pretoken, self.most_depth, None):
+                prefix = self._longer(*prefix, character)
+            return prefix[1]
         node.terminal = node.count
         return node.count
 
     def _grow(self, parent: Node, character: str) -> Node:
+        node = parent.child[character] = Node(*self._longer(parent.score, parent.count, parent.open, character))
+        self.size += 1
+        return node
+
+    def _longer(self, at_score: float, at_count: int, was_open: list, character: str) -> tuple[float, int, list]:
+        """Score, tokens and open states of a prefix with one character more. States are open for as long as a piece is, so they are few."""
         still_open, best, fewest = [], -math.inf, 0
-        for state, score, count in (*parent.open, (self.pieces.root, parent.score, parent.count)):
+        for state, score, count in (*was_open, (self.pieces.root, at_score, at_count)):
             after = state.get(character)
             if after is None:
                 continue
@@ -98,12 +114,10 @@ class PretokenTrie:
                     best, fewest = score, count + 1
         if character not in self.pieces.characters:
             n = len(character.encode("utf-8", "replace"))
-            score = parent.score + n * self.pieces.byte_score
-            if score > best or score == best and parent.count + n < fewest:
-                best, fewest = score, parent.count + n
-        node = parent.child[character] = Node(best, fewest, still_open)
-        self.size += 1
-        return node
+            score = at_score + n * self.pieces.byte_score
+            if score > best or score == best and at_count + n < fewest:
+                best, fewest = score, at_count + n
+        return best, fewest, still_open
 
 
 _tries: dict[tuple, tuple[PretokenTrie, WordCache]] = {}
@@ -120,8 +134,8 @@ def token_counts(
     """Pre-tokens and tokens of every whole text: id, n_pretokens, n_tokens.
 
     ``vocabulary`` is the path of a sentencepiece file that every executor has. ``most_nodes`` and
-    ``most_words`` bound what a task keeps between texts and have no influence on results. A
-    null or blank text has no tokens; every row of a repeated or null id is counted by itself; other
+    ``most_words`` bound what a task keeps between texts and have no influence on results; a pre-token of any length
+    takes no more than a short one beside its own characters. A null or blank text has no tokens; every row of a repeated or null id is counted by itself; other
     columns are not read; an empty table gives an empty result.
     """
 

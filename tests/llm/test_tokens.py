@@ -32,9 +32,9 @@ def brute_count(word: str, scores: dict[str, float], byte: float) -> int:
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(st.sampled_from("abcé"), max_size=9), max_size=20), st.integers(1, 30))
-def test_trie_counts_equal_forward_scores(words, most_nodes):
-    trie = PretokenTrie(Pieces(PIECES, -7.0), most_nodes)
+@given(st.lists(st.text(st.sampled_from("abcé"), max_size=9), max_size=20), st.integers(1, 30), st.integers(1, 12))
+def test_trie_counts_equal_forward_scores(words, most_nodes, most_depth):
+    trie = PretokenTrie(Pieces(PIECES, -7.0), most_nodes, most_depth)
     for word in words:
         assert trie.insert(WORD_BEGIN + word) == brute_count(WORD_BEGIN + word, PIECES, -7.0)
 
@@ -47,6 +47,18 @@ def test_shared_prefixes_are_scored_once():
     assert trie.root.child["a"].child["b"].child["c"].terminal == 1
 
 
+def test_a_very_long_word_takes_bounded_memory():
+    import tracemalloc
+
+    trie, word = PretokenTrie(Pieces(PIECES, -7.0), 1000), WORD_BEGIN + "abcé" * 50_000
+    tracemalloc.start()
+    n = trie.insert(word)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert n == 1 + 150_000 and trie.size == 64  # of each four characters one piece and two bytes
+    assert peak < 200_000
+
+
 def test_token_counts_of_odd_rows(spark, odd_rows, no_rows):
     import sentencepiece
 
