@@ -1,13 +1,16 @@
 """Counts per text against brute force in plain Python."""
 
 import re
+import string
 from collections import Counter
 
 import numpy as np
+import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from catalog_star.llm.quality import Bands, quality_rules, word_statistics
+from catalog_star.llm.quality import Bands, compression_verdict, quality_rules, word_statistics
 from catalog_star.llm.texts import Texts, windows
 from catalog_star.llm.wordcache import WordCache, number_words
 
@@ -90,3 +93,21 @@ def test_bands_refuse_repetition_and_noise(spark):
     assert found[3]["kept"] and not found[4]["kept"] and found[4]["bad_share"] > 0.34
     loose = Bands(bands=((0, 0.0, 9.0),))
     assert all(r["kept"] or r["base_failed"] for r in quality_rules(docs, bands=loose).collect())
+
+
+@pytest.mark.parametrize("size", [200, 400, 800, 1500, 3000, 8000, 60_000])
+def test_bands_of_every_length_part_text_from_repetition_and_noise(size):
+    """Patterns that five-word windows miss, and encoded noise; from 256 bytes on for noise, as shorter text packs no better."""
+    packer = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False)
+    bands, refused = Bands(), 0
+    for seed in range(20):
+        rng = np.random.Generator(np.random.PCG64([seed, size]))
+        stems = ["".join(rng.choice(list("etaoinshrdlu"), int(n))) for n in rng.integers(2, 9, 400)]
+        weight = 1 / np.arange(1, 401)
+        running = " ".join(rng.choice(stems, size, p=weight / weight.sum()))[:size].encode()
+        pattern = " ".join(f"{stems[i % 7]} {i} " + " ".join(stems[7:10]) for i in range(size))[:size].encode()
+        noise = "".join(rng.choice(list(string.ascii_letters + string.digits + "+/"), size)).encode()
+        assert compression_verdict(running, bands, packer)[2], compression_verdict(running, bands, packer)
+        refused += not compression_verdict(pattern, bands, packer)[2]
+        assert size < 512 or not compression_verdict(noise, bands, packer)[2]
+    assert size < 400 or refused == 20
