@@ -173,14 +173,14 @@ def taken_words(mixture: Mixture) -> DataFrame:
 def mixed_texts(docs: DataFrame, mixture: Mixture, id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """The rows of ``docs`` as the mixture takes them: a row per document and pass, its text the taken runs of words in order.
 
-    Words keep the white space that follows them. Rows equal in id, source and text are one document here, with all their spans.
+    All columns stay, whatever their names but those that begin with two underscores. Words keep the white space that follows them. Rows equal in id, source and text are one document here, with all their spans.
     """
     key = F.xxhash64(f"`{id}`", f"`{source}`", f"`{text}`")
-    runs = mixture.spans.groupBy("key", "pass").agg(F.sort_array(F.collect_list(F.struct("from_word", "words"))).alias("__runs"))
+    runs = mixture.spans.groupBy(F.col("key").alias("__mix_key"), F.col("pass").alias("__mix_pass")).agg(F.sort_array(F.collect_list(F.struct("from_word", "words"))).alias("__runs"))
     one = docs.withColumn("__key", key).dropDuplicates(["__key"])
     words = F.regexp_extract_all(F.col(f"`{text}`").cast("string"), F.lit(WORD_PATTERN + r"[\x20\x09-\x0D]*"), F.lit(0))
     cut = F.concat_ws("", F.transform("__runs", lambda r: F.concat_ws("", F.slice("__words", (r["from_word"] + 1).cast("int"), r["words"].cast("int")))))
-    return one.withColumn("__words", words).join(runs, F.col("__key") == F.col("key")).withColumn(text, cut).drop("__words", "__runs", "__key", "key", "pass")
+    return one.withColumn("__words", words).join(runs, F.col("__key") == F.col("__mix_key")).withColumn(text, cut).drop("__words", "__runs", "__key", "__mix_key", "__mix_pass")
 
 
 def comparison_sql(table: str, weights=(5, 2, 1), share=1.5, most_passes=2, block=128, seed="mix") -> str:
