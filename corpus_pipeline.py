@@ -14,20 +14,18 @@ from catalog_star.llm import language, mixing, packing, simhash, substrings
 from catalog_star.staging import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A document whose language is less certain than this, or that has none, is rejected.
-LEAST_CERTAINTY = 0.5
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents that are in one of the labelled languages with fair certainty; ``lang`` becomes the language found.
+    """Keep documents that are in one of the labelled languages; ``lang`` becomes the language found.
 
-    Documents whose language is not certain by half go, as do null texts and texts without a letter. Rows of null or repeated ids are judged by
+    Texts in which none is found go: null ones and those without a letter. A score is no ground to go, as languages of low score are mostly right. Rows of null or repeated ids are judged by
     themselves; an empty table stays empty. The network learns from a bounded draw of the labelled rows of ``docs`` (400 a language).
     """
     network = language.fit(language.draw_labelled(docs, "doc_id", "text", "lang", rows_per_language=400))
     found = language.identify(docs, network, {"doc_id": "doc_id", "text": "text", "source": "source", "n_chars": "n_chars"})
-    sure = found.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_CERTAINTY))
-    return sure.select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
+    told = found.where(F.col("lang_pred") != language.UNDETERMINED)
+    return told.select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
