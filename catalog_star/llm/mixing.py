@@ -157,7 +157,8 @@ def mix_sources(
     at = F.col("block") * block
     low = F.greatest(F.col("start"), at)
     high = F.least(F.col("start") + F.col("size"), at + F.col("length"))
-    spans = slots.join(pieces, ["source_rank", "block"]).where(high > low)
+    # Slots are exploded from a table of one row per source, by whose size Spark would take them for small and send all of them through the driver.
+    spans = slots.join(pieces.hint("merge"), ["source_rank", "block"]).where(high > low)
     spans = spans.select("shard", "source_rank", "slot", "pass", "id", "key", "start", (low - F.col("start")).alias("from_word"), (high - low).alias("words"))
     return Mixture(documents, spans)
 

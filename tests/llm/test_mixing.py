@@ -1,5 +1,7 @@
 """Mixing: exact targets, caps, permutations, shards; against the SQL form and by hand."""
 
+import re
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -100,3 +102,9 @@ def test_odd_rows(odd_rows, no_rows):
     empty = mixing.mix_sources(no_rows)
     assert mixing.taken_words(empty).collect() == [] and mixing.mixed_texts(no_rows, empty).collect() == []
     assert {r["taken"] for r in mixing.taken_words(mixing.mix_sources(odd_rows.where("doc_id < 4"))).collect()} == {0}
+
+
+def test_slots_meet_documents_by_a_shuffle(docs):
+    """Plans of slots look small, as their sources are few: they must not be broadcast for it."""
+    joins = re.findall(r"(\w+Join) \[source_rank#\d+, block#\d+L?\]", mixing.mix_sources(docs).spans._jdf.queryExecution().executedPlan().toString())
+    assert joins == ["SortMergeJoin"]
