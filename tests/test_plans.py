@@ -1,6 +1,7 @@
 """Plans: no Python workers, no single-partition windows, hot keys split, scans pruned."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import Window
@@ -10,7 +11,7 @@ from catalog_star import staging
 from catalog_star.operators import dedup, enrich
 from catalog_star.operators.keys import number_within
 from catalog_star.operators.star import look_up_keys, with_row_identity
-from catalog_star.registry.roles import catalogue, table
+from catalog_star.registry.roles import Catalogue, catalogue, table
 from catalog_star.staging import stage, stage_root
 from catalog_star.sinks.warehouse import CatalogWarehouse, FolderWarehouse, unseen_rows
 
@@ -182,3 +183,26 @@ def test_equal_fact_rows_are_told_apart(spark):
     assert found.exceptAll(expected).count() == 0
     alone = with_row_identity(rows.where("id % 3 = 1 and id < 3000"), "id")
     assert [r[0] for r in alone.select("_copy").distinct().collect()] == [1]
+
+
+def test_tracks_are_grouped_where_they_met_their_parts(spark, settings):
+    """Distinct rows need no shuffle of their own: rows lie by track id since the last join."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    assert plan(Catalogue(spark, DATA).tracks_clean()).count("Exchange hashpartitioning") == 6
+
+
+def test_shuffles_behind_a_stage_are_deleted_after_a_large_one(spark, monkeypatch):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    before = shuffles()
+    stage(spark.range(1000).repartition(4, "id"), "shuffled")
+    made = shuffles() - before
+    time.sleep(2)  # for listeners of the query that ended
+    monkeypatch.setattr(staging, "LARGE", 1)
+    stage(spark.range(3), "next")
+    until = time.time() + 20
+    while shuffles() & made and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() & made
