@@ -206,3 +206,28 @@ def test_shuffles_behind_a_stage_are_deleted_after_a_large_one(spark, monkeypatc
     while shuffles() & made and time.time() < until:
         time.sleep(0.2)
     assert not shuffles() & made
+
+
+def test_wide_fact_rows_are_staged_once(spark, monkeypatch):
+    """Digests and numbers are told on narrow rows, for a first load and for one that looks up the keys of another."""
+    from catalog_star.operators import keys, star
+    from catalog_star.operators.clean import clean_awards, clean_tracks
+    from catalog_star.plans import etl
+    from tests import fixture_data as fx
+
+    staged = {}
+
+    def noted(df, label, *rest):
+        staged[label] = set(df.columns)
+        return stage(df, label, *rest)
+
+    monkeypatch.setattr(keys, "stage", noted)
+    monkeypatch.setattr(star, "stage", noted)
+    known = None
+    for _ in range(2):
+        staged.clear()
+        made = etl.transform(clean_tracks(fx.tracks(spark)), clean_awards(fx.awards(spark)), known=known).star
+        known = made.key_maps
+        assert [label for label, columns in staged.items() if "tempo" in columns] == ["fact_streams", "fact_streams_keyed"]
+        assert not any({"_digest", "popularity"} <= columns for columns in staged.values())
+        assert fx.rows(made.fact, "stream_key", "track_key", "artist_key", "genre_key", "popularity") and made.fact.count() == known["fact_streams"].count() == 5
